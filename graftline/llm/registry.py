@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, mixing, sentence_pieces
 
 QUERIES = {
+    "op4_mixing": mixing.op4_mixing,
+    "op7_sentencepiece": sentence_pieces.op7_sentencepiece,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLE_SQL = {
+    "op4_mixing": mixing.OP4_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
