@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sentence_pieces
+from . import exact_dedup, language_id, mixing, sentence_pieces, warc
 
 QUERIES = {
     "op4_mixing": mixing.op4_mixing,
+    "op5_language_id": language_id.op5_language_id,
+    "op6_warc": warc.op6_warc,
     "op7_sentencepiece": sentence_pieces.op7_sentencepiece,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLE_SQL = {
     "op4_mixing": mixing.OP4_SQL,
+    "op6_warc": warc.OP6_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
