@@ -73,16 +73,17 @@ def running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], bucke
     return joined.withColumn(out, F.col("_offset") + F.col("_within")).drop(*[f"_{c}" for c in group], "_bucket", "_offset", "_within")
 
 
-def successors(keys: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
-    """keys with column `next`: a struct of the following row's order columns (null for the last row).
+def neighbours(keys: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
+    """keys with `prev` and `next`: structs of the neighbouring rows' order columns, null at the ends.
 
     The rows are dealt out by ranges and kept in the shared folder with their range's number;
-    only the first row of every range crosses to its neighbour, one row for each range.
+    only the first and last row of every range cross to a neighbour, one row for each range.
     """
     ranged = saved(keys.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    by = Window.partitionBy("_part").orderBy(*order)
+    by, parts_by = Window.partitionBy("_part").orderBy(*order), Window.orderBy("_at")
     row = F.struct(*[F.col(c) for c in order])
-    inner = ranged.withColumn("_lead", F.lead(row).over(by))
-    firsts = ranged.groupBy("_part").agg(F.min(row).alias("_first"))
-    across = firsts.select(F.col("_part").alias("_at"), F.lead("_first").over(Window.orderBy("_part")).alias("_across"))
-    return inner.join(F.broadcast(across), F.col("_part") == F.col("_at"), "left").withColumn("next", F.coalesce("_lead", "_across")).drop("_part", "_at", "_lead", "_across")
+    inner = ranged.withColumn("_next", F.lead(row).over(by)).withColumn("_prev", F.lag(row).over(by))
+    ends = ranged.groupBy(F.col("_part").alias("_at")).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    across = ends.select("_at", F.lead("_first").over(parts_by).alias("_after"), F.lag("_last").over(parts_by).alias("_before"))
+    joined = inner.join(F.broadcast(across), F.col("_part") == F.col("_at"), "left")
+    return joined.withColumn("prev", F.coalesce("_prev", "_before")).withColumn("next", F.coalesce("_next", "_after")).drop("_part", "_at", "_next", "_prev", "_after", "_before")
