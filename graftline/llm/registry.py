@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, mixing, sentence_pieces, spot_signatures, warc
+from . import exact_dedup, html_text, language_id, license_scan, mixing, sentence_pieces, spot_signatures, warc
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
     "op4_mixing": mixing.op4_mixing,
     "op5_language_id": language_id.op5_language_id,
     "op6_warc": warc.op6_warc,
     "op7_sentencepiece": sentence_pieces.op7_sentencepiece,
+    "op8_license_scan": license_scan.op8_license_scan,
     "op9_spot_signatures": spot_signatures.op9_spot_signatures,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
