@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -87,3 +88,29 @@ def neighbours(keys: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
     across = ends.select("_at", F.lead("_first").over(parts_by).alias("_after"), F.lag("_last").over(parts_by).alias("_before"))
     joined = inner.join(F.broadcast(across), F.col("_part") == F.col("_at"), "left")
     return joined.withColumn("prev", F.coalesce("_prev", "_before")).withColumn("next", F.coalesce("_next", "_after")).drop("_part", "_at", "_next", "_prev", "_after", "_before")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a compressed table in the shared folder: for what is too large to checkpoint as it is."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label) of every node of links (a, b): the smallest node that it is connected with.
+
+    Each round takes the smallest label among the neighbours, combined before the shuffle, and
+    then the label of one's label; a hub's links meet one row of labels, never each other.
+    """
+    both = saved(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
+    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    while True:
+        near = both.join(hinted(labels.select(F.col("node").alias("b"), "label")), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        new = saved(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        parent = new.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        new = saved(new.join(hinted(parent), "label", "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")))
+        labels = new.select("node", "label")
+        if new.where("old <> label").isEmpty():
+            return labels
