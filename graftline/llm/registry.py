@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_text, language_id, license_scan, mixing, near_dedup, sentence_pieces, spot_signatures, warc
+from . import exact_dedup, html_text, language_id, license_scan, mixing, near_dedup, sentence_pieces, spot_signatures, substring_dedup, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_language_id": language_id.op5_language_id,
