@@ -23,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import table
 from .sentence_pieces import MARK, public_model
 
 UNDEFINED = "und"
+PREDICTED, SCORE = "_lang_pred", "_lang_score"
 #: Labelled rows of each language that are learnt from, about.
 TRAIN_DOCS = 400
 ROUNDS = 2
@@ -166,9 +168,10 @@ class Scorer:
         return odds / odds.sum()
 
 
-def scored(batches: Iterator[pa.RecordBatch], langs: Sequence[str], scorer: Scorer) -> Iterator[pa.RecordBatch]:
+def scored(batches: Iterator[pa.RecordBatch], langs: Sequence[str], scorer: Scorer, text_at: int, kept: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """The kept columns of each batch, then language and score of the column of texts, a few MB at a time."""
     for batch in batches:
-        texts, at = batch.column(2), 0
+        texts, at = batch.column(text_at), 0
         while at < len(texts):
             rows, chars = [], 0
             while at + len(rows) < len(texts) and (not rows or chars < CHUNK_CHARS):
@@ -182,7 +185,9 @@ def scored(batches: Iterator[pa.RecordBatch], langs: Sequence[str], scorer: Scor
                 k = 0 if odds is None else int(odds.argmax())
                 best.append(UNDEFINED if odds is None else langs[k])
                 score.append(0.0 if odds is None else float(odds[k]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(rows)), batch.column(1).slice(at, len(rows)), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["id", "held_out", "lang_pred", "score"])
+            columns = [batch.column(c).slice(at, len(rows)) for c in kept]
+            names = [batch.schema.names[c] for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*names, PREDICTED, SCORE])
             at += len(rows)
 
 
@@ -215,18 +220,31 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, path: str,
     return langs, pieces, fit(pieces, [names[i] for i in short], counts[short])
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None, most: int = TRAIN_DOCS) -> DataFrame:
-    """One row for each row of docs: id, held_out, lang_pred, score."""
+def _predicted(docs: DataFrame, rows: DataFrame, kept: Sequence[str], columns: tuple[str, str, str], path: str | None, most: int) -> DataFrame:
+    """rows (with a column of texts as in docs) reduced to `kept`, with PREDICTED and SCORE."""
+    id_col, text_col, lang_col = columns
     langs, pieces, p = train(docs, id_col, text_col, lang_col, path or public_model(), most)
-    sent = docs.sparkSession.sparkContext.broadcast((langs, pieces, p.astype(np.float64)))
+    sent = docs.sparkSession.sparkContext.broadcast((langs, pieces, p))
+    text_at, kept_at = rows.columns.index(text_col), [rows.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, vocab, probabilities = sent.value
-        return scored(batches, own, Scorer(vocab, probabilities))
+        return scored(batches, own, Scorer(vocab, probabilities), text_at, kept_at)
+
+    return rows.mapInArrow(run, StructType([*(rows.schema[c] for c in kept), StructField(PREDICTED, StringType()), StructField(SCORE, DoubleType())]))
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None, most: int = TRAIN_DOCS) -> DataFrame:
+    """One row for each row of docs: id, held_out, lang_pred, score."""
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("_held_out"), F.col(text_col))
+    out = _predicted(docs, rows, ["_id", "_held_out"], (id_col, text_col, lang_col), path, most)
+    return out.select(F.col("_id").alias("id"), F.col("_held_out").alias("held_out"), F.col(PREDICTED).alias("lang_pred"), F.col(SCORE).alias("score"))
+
 
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, held_out boolean, lang_pred string, score double")
+def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5, path: str | None = None, most: int = TRAIN_DOCS) -> DataFrame:
+    """docs without the rows that have no language or none with a score of `least`; columns unchanged, no shuffle."""
+    out = _predicted(docs, docs, docs.columns, (id_col, text_col, lang_col), path, most)
+    return out.where((F.col(PREDICTED) != UNDEFINED) & (F.col(SCORE) >= least)).select(*docs.columns)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,7 +109,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """docs with every row as many times as the mix takes it whole, a part counted by rounding; columns unchanged."""
     times = saved(mix(docs, id_col, text_col).select("id", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1).cast("int").alias("_times")))
     times = times.groupBy(F.col("id").alias("_id")).agg(F.max("_times").alias("_times"))
-    joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_id"))).where("_times > 0")
+    joined = docs.join(hinted(saved(times)), F.col(id_col).eqNullSafe(F.col("_id"))).where("_times > 0")
     return joined.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 
