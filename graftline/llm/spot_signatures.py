@@ -50,19 +50,25 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     so each anchor finds its chain by one slice of the array of content words.
     """
     common = lambda w: w.isin(*ANCHORS)
-    all_words = words(text)
 
-    def of(w: Column) -> Column:
+    def split(w: Column) -> Column:
         places = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda p: common(p["w"]))
-        content = F.filter(w, lambda x: ~common(x))
-        last = F.size(content) - chain
-        chains = F.transform(places, lambda p, k: F.when(p["i"] - k <= last, short_hash(p["w"], F.slice(content, p["i"] - k + 1, chain))))
-        found = F.filter(chains, lambda h: h.isNotNull())
+        return F.struct(w.alias("w"), places.alias("places"), F.filter(w, lambda x: ~common(x)).alias("content"))
+
+    def chained(s: Column) -> Column:
+        hashes = F.transform(s["places"], lambda p, k: F.when(p["i"] - k <= F.size(s["content"]) - chain, short_hash(p["w"], F.slice(s["content"], p["i"] - k + 1, chain))))
+        return F.struct(s["w"].alias("w"), F.filter(hashes, lambda h: h.isNotNull()).alias("found"))
+
+    def chosen(s: Column) -> Column:
+        w = s["w"]
         grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - chain + 1)), lambda i: short_hash(F.slice(w, i, chain)))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(found) > 0, found).otherwise(grams)
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(s["found"]) > 0, s["found"]).otherwise(grams)
 
-    # A one-element array binds the words, so that they are computed once.
-    return F.array_sort(F.array_distinct(F.element_at(F.transform(F.array(all_words), of), 1)))
+    # Arrays of one element hand each step's result on, so that nothing is computed for every anchor anew.
+    steps = F.array(words(text))
+    for step in (split, chained, chosen):
+        steps = F.transform(steps, step)
+    return F.array_sort(F.array_distinct(F.element_at(steps, 1)))
 
 
 def fingerprint(signs: Column) -> Column:
