@@ -81,7 +81,10 @@ class PieceModel:
         used = set("".join(normal))
         gaps = "".join(c for c in "\t\n\x0b\x0c\r" if c not in used)
         self.word = re.compile("(?s).+" if inside else f"{MARK}*[^{MARK}{gaps}]+|{MARK}+|[{gaps}]" if gaps else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.text_array = np.array(self.texts, object)
+        self.is_byte = np.isin(np.arange(n), list(self.byte_of))
+        self.ids_of: dict[str, bytes] = {}
+        self.text_of: dict[str, str] = {}
 
     def _hash(self) -> None:
         """Open addressing over the pairs' keys."""
@@ -140,14 +143,15 @@ class PieceModel:
                     heapq.heappush(heap, (r[0], x, sym[x], sym[y], r[1]))
         return [s for s, ok in zip(sym, alive, strict=True) if ok]
 
-    def rounds(self, words: Sequence[str]) -> list[np.ndarray]:
-        """The symbols of each word when no pair is left."""
+    def rounds(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words when no pair is left, one word behind the other, and how many each has."""
         size = np.fromiter(map(len, words), np.int64, len(words))
-        sym = self.char_id[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
-        first = sym.copy()
+        sym = self.char_id[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        first = sym
+        sym = sym.copy()
         ends = np.cumsum(size)
-        out: list[np.ndarray] = [sym[:0]] * len(words)
         word = np.repeat(np.arange(len(words)), size)
+        done_sym, done_word = [sym[:0]], [word[:0]]
         again: set[int] = set()
 
         def ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,9 +167,9 @@ class PieceModel:
             lengths = np.diff(np.r_[starts, len(sym)])
             done = best == NONE
             if done.any():
-                for s, n in zip(starts[done].tolist(), lengths[done].tolist(), strict=True):
-                    out[word[s]] = sym[s : s + n].copy()
                 keep = np.repeat(~done, lengths)
+                done_sym.append(sym[~keep])
+                done_word.append(word[~keep])
                 sym, word, rank, merged = sym[keep], word[keep], rank[keep], merged[keep]
                 best, lengths = best[~done], lengths[~done]
                 if not len(sym):
@@ -180,8 +184,11 @@ class PieceModel:
             keep[at + 1] = False
             at = at - np.searchsorted(at, at)
             sym, word, rank, merged, least = sym[keep], word[keep], rank[keep], merged[keep], least[keep]
-            left = at[(at > 0)] - 1
-            touched = np.unique(np.r_[left[word[left] == word[left + 1]], at])
+            mark = np.zeros(len(sym), bool)
+            mark[at] = True
+            left = at[at > 0] - 1
+            mark[left[word[left] == word[left + 1]]] = True
+            touched = np.flatnonzero(mark)
             rank[touched], merged[touched] = ranked(touched)
             early = touched[rank[touched] <= least[touched]]
             if len(early):
@@ -190,17 +197,26 @@ class PieceModel:
                 keep = ~np.isin(word, redo)
                 sym, word, rank, merged = sym[keep], word[keep], rank[keep], merged[keep]
         for i in again:
-            out[i] = np.array(self.single(first[ends[i] - size[i] : ends[i]].tolist()), np.int32)
-        return out
-
-    def to_ids(self, sym: np.ndarray) -> np.ndarray:
-        """Ids; characters without a piece become the ids of their bytes."""
-        if not len(sym) or sym.max() < self.size:
-            return sym
-        parts = []
-        for s in sym.tolist():
-            parts.extend([s] if s < self.size else self.byte_ids[list(chr(s - self.size).encode("utf-8", "surrogatepass"))].tolist())
-        return np.array(parts, np.int32)
+            one = np.array(self.single(first[ends[i] - size[i] : ends[i]].tolist()), np.int32)
+            done_sym.append(one)
+            done_word.append(np.full(len(one), i))
+        word = np.concatenate(done_word)
+        order = np.argsort(word, kind="stable")
+        return np.concatenate(done_sym)[order], np.bincount(word, minlength=len(words))
+
+    def to_ids(self, sym: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number in each word; characters without a piece become the ids of their bytes."""
+        odd = sym >= self.size
+        if not odd.any():
+            return sym, count
+        spelled = [chr(c).encode("utf-8", "surrogatepass") for c in (sym[odd] - self.size).tolist()]
+        times = np.ones(len(sym), np.int64)
+        times[odd] = list(map(len, spelled))
+        ids = np.repeat(sym, times)
+        ids[np.repeat(odd, times)] = self.byte_ids[np.frombuffer(b"".join(spelled), np.uint8)]
+        total = np.r_[0, np.cumsum(times)]
+        ends = np.cumsum(count)
+        return ids, total[ends] - total[ends - count]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of the ids, without the space that encoding puts in front."""
@@ -215,15 +231,18 @@ class PieceModel:
 
     def learn(self, words: set[str]) -> None:
         """Puts the ids and the decoded text of new words into the table."""
-        new = [w for w in words if w not in self.known]
+        if len(self.ids_of) > KEPT_WORDS:
+            self.ids_of, self.text_of = {}, {}
+        new = list(words.difference(self.ids_of))
         if not new:
             return
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-            new = list(words)
-        for w, sym in zip(new, self.rounds(new), strict=True):
-            ids = self.to_ids(sym)
-            self.known[w] = ids.astype("<u4").tobytes(), self._spelled(ids.tolist())
+        ids, count = self.to_ids(*self.rounds(new))
+        raw, texts = ids.astype("<u4").tobytes(), self.text_array[ids].tolist()
+        ends = np.cumsum(count)
+        odd = np.r_[0, np.cumsum(self.is_byte[ids])]
+        for w, a, b, o in zip(new, (ends - count).tolist(), ends.tolist(), (odd[ends] > odd[ends - count]).tolist(), strict=True):
+            self.ids_of[w] = raw[4 * a : 4 * b]
+            self.text_of[w] = self._spelled(ids[a:b].tolist()) if o else "".join(texts[a:b])
 
     def words(self, text: str) -> list[str]:
         return self.word.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -232,7 +251,7 @@ class PieceModel:
         """All ids of a text, with begin and end."""
         words = self.words(text or "")
         self.learn(set(words))
-        ids = np.frombuffer(b"".join([self.known[w][0] for w in words]), "<u4")
+        ids = np.frombuffer(b"".join([self.ids_of[w] for w in words]), "<u4")
         return [self.bos, *ids.tolist(), self.eos]
 
 
@@ -254,12 +273,11 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool = False
                 rows.append(m.words(texts[at + len(rows)].as_py() or ""))
                 chars += sum(map(len, rows[-1]))
             m.learn(set().union(*rows))
-            known = m.known
+            ids_of, text_of = m.ids_of.__getitem__, m.text_of.__getitem__
             n, ids, texts_out, kept = [], [], [], []
             for words in rows:
-                pairs = [known[w] for w in words]
-                raw = b"".join([ends[0], *[p[0] for p in pairs], ends[1]])
-                text = "".join([p[1] for p in pairs])
+                raw = b"".join([ends[0], *map(ids_of, words), ends[1]])
+                text = "".join(map(text_of, words))
                 text = text[1:] if text.startswith(" ") else text
                 n.append(len(raw) // 4)
                 ids.append(hashlib.sha256(raw).hexdigest())
