@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from graftline.operators.iterate import components, hinted, saved, shared_dir, small, written
+
+__all__ = ["SPACE", "WORD", "components", "hinted", "neighbours", "running_sum", "saved", "shared_dir", "small", "table", "word_count", "written"]
+
 #: A word is a run of anything but ASCII white space; a space is a run of that.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Rows of (id, value) that a join side may hold to be broadcast: 16 bytes each, 16 MB at most.
-BROADCAST_ROWS = 1_000_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,37 +26,6 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only for a local session without one."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(named)
-        return named
-    if not sc.getCheckpointDir():
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="graftline-"))
-    return sc.getCheckpointDir()
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared folder, so that a lost executor costs nothing."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most so many rows; reads no more than are needed to tell."""
-    return df.limit(most + 1).count() <= most
-
-
-def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df for a join: broadcast if its counted size is small, shuffled if not."""
-    return F.broadcast(df) if small(df, most) else df.hint("merge")
-
-
 def running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket: str, value: str, out: str) -> DataFrame:
     """Adds the sum of `value` over the rows before each row, in (bucket, order) order within its group.
 
@@ -88,29 +56,3 @@ def neighbours(keys: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
     across = ends.select("_at", F.lead("_first").over(parts_by).alias("_after"), F.lag("_last").over(parts_by).alias("_before"))
     joined = inner.join(F.broadcast(across), F.col("_part") == F.col("_at"), "left")
     return joined.withColumn("prev", F.coalesce("_prev", "_before")).withColumn("next", F.coalesce("_next", "_after")).drop("_part", "_at", "_next", "_prev", "_after", "_before")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a compressed table in the shared folder: for what is too large to checkpoint as it is."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node of links (a, b): the smallest node that it is connected with.
-
-    Each round takes the smallest label among the neighbours, combined before the shuffle, and
-    then the label of one's label; a hub's links meet one row of labels, never each other.
-    """
-    both = saved(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
-    while True:
-        near = both.join(hinted(labels.select(F.col("node").alias("b"), "label")), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        new = saved(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
-        parent = new.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = saved(new.join(hinted(parent), "label", "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")))
-        labels = new.select("node", "label")
-        if new.where("old <> label").isEmpty():
-            return labels
