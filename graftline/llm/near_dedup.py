@@ -45,7 +45,7 @@ TINY, LEAST = 10, 6
 MARGIN = 0.25
 SHORT_LIST = 32
 #: Shingles that a block of a long list holds, of members and of those outside the largest component.
-BLOCK_ALL, BLOCK_FEW = 1_500_000, 300_000
+BLOCK_ALL, BLOCK_FEW = 750_000, 300_000
 
 
 def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +229,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     long_ = left.where(F.col("m") > SHORT_LIST)
     if not long_.isEmpty():
-        sized = long_.join(reps.groupBy("rep").agg(F.max("n").alias("n")), "rep").withColumn("few", F.col("comp") != F.col("top"))
+        sized = written(long_.join(reps.groupBy("rep").agg(F.max("n").alias("n")), "rep").withColumn("few", F.col("comp") != F.col("top")))
         parts = sized.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ALL).cast("int").alias("pa"), F.ceil(F.sum(F.when(F.col("few"), F.col("n"))) / BLOCK_FEW).cast("int").alias("pf"))
         dealt = sized.join(hinted(parts), "key")
         at = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
