@@ -54,13 +54,13 @@ def n_gap(length: Column) -> Column:
 
 def segment_length(seq: Column, tags: Column) -> Column:
     """The LN tag if there is one, else the length of the sequence (1 for an absent one, written *)."""
-    ln = F.element_at(F.filter(tags, lambda t: t.startswith("LN:i:")), 1)
+    ln = F.try_element_at(F.filter(tags, lambda t: t.startswith("LN:i:")), F.lit(1))
     return F.coalesce(F.substring(ln, 6, 20).cast("long"), F.length(seq).cast("long"))
 
 
 def coverage_tag(tags: Column) -> Column:
     """The value of an ll:f: or kl:f: tag, kl first."""
-    value = lambda name: F.substring(F.element_at(F.filter(tags, lambda t: t.startswith(name)), 1), 6, 40).cast("double")
+    value = lambda name: F.substring(F.try_element_at(F.filter(tags, lambda t: t.startswith(name)), F.lit(1)), 6, 40).cast("double")
     return F.coalesce(value("kl:f:"), value("ll:f:"))
 
 

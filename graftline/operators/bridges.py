@@ -12,7 +12,7 @@ from .iterate import hinted, saved
 
 def bridges(paths: DataFrame, unique: DataFrame, path: str = "path") -> DataFrame:
     """(bridge): canonical stretches of paths from one unique node to the next, one row for each passage."""
-    rows = paths.select(F.monotonically_increasing_id().alias("_p"), F.col(path).alias("_path"))
+    rows = saved(paths.select(F.monotonically_increasing_id().alias("_p"), F.col(path).alias("_path")))
     steps = rows.select("_p", F.posexplode("_path").alias("_i", "_step"))
     marks = steps.join(hinted(unique.select(F.col("node").alias("_u")).distinct()), P.bare(F.col("_step")) == F.col("_u"), "left_semi").groupBy("_p").agg(F.array_sort(F.collect_list("_i")).alias("_at"))
     found = rows.join(marks.where(F.size("_at") >= 2), "_p")

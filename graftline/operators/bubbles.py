@@ -271,6 +271,6 @@ def tip_loops(graph: DataFrame, paths: DataFrame, cov: DataFrame, mean: float, k
     own = graph.where("u = v").select(P.bare(F.col("u")).alias("node")).distinct()
     degree = graph.groupBy("u").agg(F.countDistinct("v").alias("n")).groupBy(P.bare(F.col("u")).alias("node")).agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("sides")).where("most <= 2 AND sides = 2")
     ready = own.join(degree.select("node"), "node", "left_semi").join(cov.select("node", "coverage"), "node", "left").where(F.col("coverage").isNull() | (F.col("coverage") >= 1.1 * mean)).select("node")
-    walks = paths.select(F.monotonically_increasing_id().alias("_p"), F.explode(F.transform("path", P.bare)).alias("node")).groupBy("_p", "node").agg(F.count(F.lit(1)).alias("n"))
+    walks = paths.select("path", F.monotonically_increasing_id().alias("_p")).select("_p", F.explode(F.transform("path", P.bare)).alias("node")).groupBy("_p", "node").agg(F.count(F.lit(1)).alias("n"))
     top = walks.join(ready, "node", "left_semi").groupBy("node").agg(F.sort_array(F.collect_list("n"), asc=False).alias("s")).where(F.size("s") >= k)
     return top.select("node", F.element_at("s", k).alias("copies"))

@@ -76,9 +76,9 @@ def gaf(spark: SparkSession, path: str) -> DataFrame:
     """Alignments: read, rlen, rstart, rend, strand, path, plen, pstart, pend, nmatch, alen, mapq, idy, tags."""
     f = fields(lines(spark, path)).where(F.size("f") >= 12)
     tags = F.slice("f", F.lit(13), F.size("f"))
-    idy = S.identity(F.element_at(F.filter(tags, lambda t: t.startswith("id:f:")), 1))
+    idy = S.identity(F.try_element_at(F.filter(tags, lambda t: t.startswith("id:f:")), F.lit(1)))
     numbers = [_at(i, "long").alias(n) for i, n in ((6, "plen"), (7, "pstart"), (8, "pend"), (9, "nmatch"), (10, "alen"), (11, "mapq"))]
-    return f.select(S.read_name(_at(0)).alias("read"), _at(1, "long").alias("rlen"), _at(2, "long").alias("rstart"), _at(3, "long").alias("rend"), _at(4).alias("strand"), P.tokens(_at(5)).alias("path"), *numbers, F.try_element_at(F.array(idy), F.lit(1)).alias("idy"), tags.alias("tags"))
+    return f.select(S.read_name(_at(0)).alias("read"), _at(1, "long").alias("rlen"), _at(2, "long").alias("rstart"), _at(3, "long").alias("rend"), _at(4).alias("strand"), P.tokens(_at(5)).alias("path"), *numbers, idy.alias("idy"), tags.alias("tags"))
 
 
 def paf_as_gaf(spark: SparkSession, path: str, mapq: int = 20, least: int = 5000, identity: float = 0.9) -> DataFrame:
