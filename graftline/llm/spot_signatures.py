@@ -1,8 +1,9 @@
 """Document fingerprints by spot signatures, in DataFrame operations only.
 
 A common word (an anchor) and the next CHAIN content words behind it make a signature; a
-document's fingerprint is its set of signatures as hashes, in order. Text without a single whole
-signature takes chains of CHAIN words from every place instead, or its whole words if there are fewer.
+document's fingerprint is its set of signatures as hashes, in order. Texts with fewer than FEW of them
+also take chains of CHAIN words from every place, or their whole words if there are fewer, so that
+short texts and texts in other languages can be told apart and found again too.
 Likeness is the Jaccard index of two fingerprints.
 
 `near_pairs` finds all pairs from a likeness on: equal fingerprints are one class, classes fall
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from .common import neighbours, saved, table
 
 CHAIN = 2
+FEW = 16
 HASH_BITS = 48
 SIMILAR = 0.8
 # The most frequent function words of English, German, French and Spanish.
@@ -62,7 +64,7 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     def chosen(s: Column) -> Column:
         w = s["w"]
         grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - chain + 1)), lambda i: short_hash(F.slice(w, i, chain)))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(s["found"]) > 0, s["found"]).otherwise(grams)
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(s["found"]) >= FEW, s["found"]).otherwise(F.concat(s["found"], grams))
 
     # Arrays of one element hand each step's result on, so that nothing is computed for every anchor anew.
     steps = F.array(words(text))

@@ -20,8 +20,8 @@ def brute(text):
             after = [c for j, c in content if j > i][: spot.CHAIN]
             if len(after) == spot.CHAIN:
                 chains.add((w, *after))
-    if not chains and words:
-        chains = {tuple(words[i : i + spot.CHAIN]) for i in range(max(1, len(words) - spot.CHAIN + 1))}
+    if sum(w in spot.ANCHORS and sum(j > i for j, _ in content) >= spot.CHAIN for i, w in enumerate(words)) < spot.FEW and words:
+        chains |= {tuple(words[i : i + spot.CHAIN]) for i in range(max(1, len(words) - spot.CHAIN + 1))}
     return chains
 
 
