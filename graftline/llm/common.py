@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graftline.operators.iterate import components, hinted, saved, shared_dir, small, written
 
-__all__ = ["SPACE", "WORD", "components", "hinted", "neighbours", "running_sum", "saved", "shared_dir", "small", "table", "word_count", "written"]
+__all__ = ["SPACE", "WORD", "components", "hinted", "neighbours", "running_sum", "tidied", "saved", "shared_dir", "small", "table", "word_count", "written"]
 
 #: A word is a run of anything but ASCII white space; a space is a run of that.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,3 +58,17 @@ def neighbours(keys: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
     across = ends.select("_at", F.lead("_first").over(parts_by).alias("_after"), F.lag("_last").over(parts_by).alias("_before"))
     joined = inner.join(F.broadcast(across), F.col("_part") == F.col("_at"), "left")
     return joined.withColumn("prev", F.coalesce("_prev", "_before")).withColumn("next", F.coalesce("_next", "_after")).drop("_part", "_at", "_next", "_prev", "_after", "_before")
+
+
+def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; at their end a worker hands the memory that it has freed back to the system.
+
+    Workers are used again for later stages, and what their allocators keep would add up.
+    """
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import table
+from .common import table, tidied
 from .sentence_pieces import MARK, public_model
 
 UNDEFINED = "und"
@@ -39,7 +39,7 @@ UNKNOWN = 1e-7
 #: Words longer than this are scored one by one with rescaling.
 LONG_WORD = 48
 KEPT_WORDS = 200_000
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 #: Python's \w without digits and underscore: letters of any script.
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -229,7 +229,7 @@ def _predicted(docs: DataFrame, rows: DataFrame, kept: Sequence[str], columns: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, vocab, probabilities = sent.value
-        return scored(batches, own, Scorer(vocab, probabilities), text_at, kept_at)
+        return tidied(scored(batches, own, Scorer(vocab, probabilities), text_at, kept_at))
 
     return rows.mapInArrow(run, StructType([*(rows.schema[c] for c in kept), StructField(PREDICTED, StringType()), StructField(SCORE, DoubleType())]))
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, hinted, saved, table, written
+from .common import components, hinted, saved, table, tidied, written
 from .word_hashes import Words, chunks, mix, run_hash
 
 SHINGLE, PERCENT = 5, 80
@@ -129,7 +129,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> It
         at = 0
         while at < len(batch):
             texts, first = [], at
-            while at < len(batch) and (at == first or sum(map(len, texts)) < 2_000_000):
+            while at < len(batch) and (at == first or sum(map(len, texts)) < 1_000_000):
                 texts += [(batch.column(i)[at].as_py() or "").encode("utf-8", "surrogatepass") for i in (2, 3)]
                 at += 1
             h, count = shingle_sets(texts, size)
@@ -185,14 +185,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row for each row of docs: id, n (shingles), component. Identifiers are whole numbers."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     digest = ["n", "d1", "d2"]
-    sketches = written(rows.mapInArrow(lambda it: _sketched(it, size), "id long, n long, d1 long, d2 long, sketch array<long>"))
+    sketches = written(rows.mapInArrow(lambda it: tidied(_sketched(it, size)), "id long, n long, d1 long, d2 long, sketch array<long>"))
     named = sketches.where("n > 0 AND id IS NOT NULL")
     classes = named.groupBy(*digest).agg(F.min("id").alias("rep"))
     owners = classes.select(*[F.col(c).alias(f"_{c}") for c in digest], "rep")
     own = (F.col("id") == F.col("rep")) & (F.col("n") == F.col("_n")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
     reps = written(named.join(owners, own).select("rep", "n", "d1", "d2", "sketch").dropDuplicates(["rep", "d1", "d2"]))
 
-    keys = reps.select("rep", "n", "sketch").mapInArrow(_keyed, "key long, rep long")
+    keys = reps.select("rep", "n", "sketch").mapInArrow(lambda it: tidied(_keyed(it)), "key long, rep long")
     lists = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("low"), F.min_by("rep", F.xxhash64("rep", "key")).alias("any")).where("m > 1")
     leader = F.when((F.col("m") > SHORT_LIST) & (F.pmod(F.col("key"), F.lit(8)) == 0), F.col("any")).otherwise(F.col("low"))
     members = written(keys.join(lists.select("key", "m", leader.alias("leader")), "key"))
@@ -207,10 +207,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left, right = (one.select(F.col("rep").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
-        likely = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(lambda it: _likely(it, percent / 100 - MARGIN), "a long, b long")
+        likely = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(lambda it: tidied(_likely(it, percent / 100 - MARGIN)), "a long, b long")
         left, right = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         both = likely.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-        return saved(both.mapInArrow(lambda it: _confirmed(it, size, percent), "a long, b long"))
+        return saved(both.mapInArrow(lambda it: tidied(_confirmed(it, size, percent)), "a long, b long"))
 
     first = confirmed(members.select(*pair("rep", "leader")).where("a <> b").distinct())
     label = components(first)

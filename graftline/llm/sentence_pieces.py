@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, tidied
 
 MARK = "▁"
 NONE = np.int32(2**31 - 1)
 #: Words whose ids are kept between batches, and text that is encoded at a time.
 KEPT_WORDS = 200_000
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_500_000
 
 
 class PieceModel:
@@ -61,17 +61,17 @@ class PieceModel:
         for p, i in normal.items():
             if len(p) == 1:
                 self.char_id[ord(p)] = i
-        self.pair: dict[tuple[int, int], tuple[int, int]] = {}
+        pair: dict[tuple[int, int], tuple[int, int]] = {}
         part = lambda p: normal.get(p, n + ord(p) if len(p) == 1 else -1)
         for p, i in normal.items():
             for at in range(1, len(p)):
                 a, b = part(p[:at]), part(p[at:])
                 if a >= 0 and b >= 0:
-                    self.pair[a, b] = rank[scores[i]], i
-        keys = np.array([a << 32 | b for a, b in self.pair], np.int64)
+                    pair[a, b] = rank[scores[i]], i
+        keys = np.array([a << 32 | b for a, b in pair], np.int64)
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.ranks, self.merged = (np.array(x, np.int32)[order] for x in zip(*self.pair.values(), strict=True))
+        self.ranks, self.merged = (np.array(x, np.int32)[order] for x in zip(*pair.values(), strict=True))
         self._hash()
         self.texts = [""] * n
         for i, p in enumerate(self.pieces):
@@ -128,7 +128,9 @@ class PieceModel:
         """One word by single merges, best rank and then leftmost first."""
         n = len(sym)
         nxt, prv, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(r[0], i, sym[i], sym[i + 1], r[1]) for i in range(n - 1) if (r := self.pair.get((sym[i], sym[i + 1])))]
+        flat = np.array(sym, np.int32)
+        rank, merged = self.look_up(flat[:-1], flat[1:])
+        heap = [(int(rank[i]), i, sym[i], sym[i + 1], int(merged[i])) for i in np.flatnonzero(rank != NONE).tolist()]
         heapq.heapify(heap)
         while heap:
             _, i, a, b, new = heapq.heappop(heap)
@@ -138,9 +140,11 @@ class PieceModel:
             sym[i], alive[j], nxt[i] = new, False, nxt[j]
             if nxt[j] < n:
                 prv[nxt[j]] = i
-            for x, y in ((prv[i], i), (i, nxt[i])):
-                if x >= 0 and y < n and (r := self.pair.get((sym[x], sym[y]))):
-                    heapq.heappush(heap, (r[0], x, sym[x], sym[y], r[1]))
+            around = [(x, y) for x, y in ((prv[i], i), (i, nxt[i])) if x >= 0 and y < n]
+            rank, merged = self.look_up(np.array([sym[x] for x, _ in around], np.int32), np.array([sym[y] for _, y in around], np.int32))
+            for (x, y), r, m in zip(around, rank.tolist(), merged.tolist(), strict=True):
+                if r != NONE:
+                    heapq.heappush(heap, (r, x, sym[x], sym[y], m))
         return [s for s, ok in zip(sym, alive, strict=True) if ok]
 
     def rounds(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -264,6 +268,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool = False
     """(id, text) to (id, n_tokens, ids_sha256, decoded_sha256[, ids]), a few MB of text at a time."""
     m = model(path)
     ends = [np.array([x], "<u4").tobytes() for x in (m.bos, m.eos)]
+    m.ids_of, m.text_of = {}, {}  # nothing is kept from one task to the next
     for batch in batches:
         texts = batch.column(1)
         at = 0
@@ -291,6 +296,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool = False
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
             at += len(rows)
+    m.ids_of, m.text_of = {}, {}
 
 
 def public_model() -> str:
@@ -305,7 +311,7 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return rows.mapInArrow(lambda it: encoded(it, path or public_model(), with_ids), schema)
+    return rows.mapInArrow(lambda it: tidied(encoded(it, path or public_model(), with_ids)), schema)
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hinted, saved, table, written
+from .common import hinted, saved, table, tidied, written
 from .word_hashes import Words, _powers, chunks, mix
 
 WINDOW, EDGE = 20, 8
@@ -199,8 +199,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         keyed = written(once.select("key", "text"))
 
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    summary = written(keyed.mapInArrow(lambda it: _summary(it, window, edge), "key long, n_words long, n_paths long, whole string"))
-    paths = keyed.mapInArrow(lambda it: _path_rows(it, window, edge), "key long, anchor int, path long, at long")
+    summary = written(keyed.mapInArrow(lambda it: tidied(_summary(it, window, edge)), "key long, n_words long, n_paths long, whole string"))
+    paths = keyed.mapInArrow(lambda it: tidied(_path_rows(it, window, edge)), "key long, anchor int, path long, at long")
     firsts = written(paths.groupBy("anchor", "path").agg(F.min("key").alias("key"), F.min_by("at", "key").alias("at")))
     branch = saved(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("anchor").alias("_anchor")))
     marked = firsts.join(hinted(branch), F.col("anchor") == F.col("_anchor"), "left")
@@ -209,7 +209,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     asked = lists.where(F.size("branching") > 0).select(F.col("key").alias("_key"), "branching")
     texts = keyed.join(_by_size(asked, F.size("branching")), F.col("key") == F.col("_key")).select("key", "text", "branching")
-    windows = texts.mapInArrow(lambda it: _window_rows(it, window, edge), "key long, anchor int, words long, at long")
+    windows = texts.mapInArrow(lambda it: tidied(_window_rows(it, window, edge)), "key long, anchor int, words long, at long")
     first_windows = windows.groupBy("anchor", "words").agg(F.min("key").alias("key"), F.min_by("at", "key").alias("at"))
     first_windows = written(first_windows.groupBy("key").agg(F.collect_list("at").alias("first")))
 
@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     info = info.where((size("original") + size("branching") < F.col("n_paths")) | (size("first") < F.coalesce(spelled, F.lit(0))))
     info = written(info.select(F.col("key").alias("_key"), "original", "branching", "first"))
     repeated = keyed.join(_by_size(info, size("original") + size("branching") + size("first") + 1), F.col("key") == F.col("_key")).select("key", "text", "original", "branching", "first")
-    changed = repeated.mapInArrow(lambda it: _removed(it, window, edge), "key long, n_words long, n_removed long, kept_sha256 string, spans array<array<long>>")
+    changed = repeated.mapInArrow(lambda it: tidied(_removed(it, window, edge)), "key long, n_words long, n_removed long, kept_sha256 string, spans array<array<long>>")
     same = summary.join(hinted(info.select("_key")), F.col("key") == F.col("_key"), "left_anti")
     same = same.select("key", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole").alias("kept_sha256"), F.array().cast("array<array<bigint>>").alias("spans"))
     out = changed.unionByName(same)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at a time.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _RANDOM = np.random.default_rng(20240229).integers(1, 1 << 63, 300, dtype=np.uint64) | np.uint64(1)
 _BYTE = _RANDOM[:256].copy()
 _BYTE[[9, 10, 11, 12, 13, 32]] = 0
