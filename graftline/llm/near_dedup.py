@@ -202,8 +202,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = reps.join(hinted(saved(on_lists)), F.col("rep") == F.col("_rep"), "left_semi").select("rep", "d1", "d2", "sketch")
     some = written(some)
     wanted = some.select(F.col("rep").alias("_rep")).distinct()
-    texts = written(rows.join(hinted(wanted), F.col("id") == F.col("_rep"), "left_semi").dropDuplicates(["id"]) if _repeats(sketches) else rows.join(hinted(wanted), F.col("id") == F.col("_rep"), "left_semi"))
-    one = some.select("rep", "sketch").dropDuplicates(["rep"])
+    texts = rows.join(hinted(wanted), F.col("id") == F.col("_rep"), "left_semi")
+    if _repeats(sketches):  # an identifier with several texts stays with each of them
+        texts = texts.withColumn("_h", F.xxhash64("text")).dropDuplicates(["id", "_h"]).drop("_h")
+    texts = written(texts)
+    one = some.select("rep", "sketch")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left, right = (one.select(F.col("rep").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
@@ -240,8 +243,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = links.unionByName(saved(found.select(*pair("a", "b")).distinct()))
 
     # Rows with one identifier are one document: its sets are linked through it.
-    same = named.select("id", *digest).join(classes, digest).select(*pair("id", "rep")).where("a <> b")
-    final = components(links.unionByName(same.join(hinted(_repeated_ids(sketches)), F.col("a") == F.col("_id"), "left_semi").unionByName(same.join(hinted(_repeated_ids(sketches)), F.col("b") == F.col("_id"), "left_semi")))) if _repeats(sketches) else components(links)
+    if _repeats(sketches):
+        twice = hinted(saved(_repeated_ids(sketches)))
+        links = links.unionByName(named.join(twice, F.col("id") == F.col("_id"), "left_semi").select("id", *digest).join(classes, digest).select(*pair("id", "rep")).where("a <> b"))
+    final = components(links)
     placed = sketches.drop("sketch").join(owners, (F.col("n") == F.col("_n")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")), "left")
     placed = placed.join(hinted(final), F.col("rep") == F.col("node"), "left")
     return placed.select("id", "n", F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("label", "rep")).alias("component"))

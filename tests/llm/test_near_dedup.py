@@ -75,6 +75,13 @@ def test_edge_rows(spark):
     assert sorted(r.doc_id or 0 for r in nd.near_dedup(docs, size=3, percent=85).collect()) == [0, 1, 2, 3, 4, 5, 7, 7, 8, 8, 12]
 
 
+def test_an_identifier_with_two_texts_links_both(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(8, one), (8, two), (20, two + " z"), (30, one + " z"), (40, "lonely text here")]
+    got = sorted(map(tuple, nd.near_components(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=85).collect()))
+    assert got == sorted(brute(rows, 3, 85)) and {r[2] for r in got} == {8, 40}
+
+
 def test_sketch_keys_of_pairs_at_the_threshold_meet():
     rng = np.random.default_rng(5)
     for percent in (80, 85):
