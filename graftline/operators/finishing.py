@@ -82,7 +82,7 @@ def lineage_coverage(mapping: DataFrame, roots: DataFrame, raw: DataFrame) -> Da
     return both.groupBy("node").agg(F.round(F.coalesce(mean(one), mean(F.lit(True))), 2).alias("coverage"), F.sum("length").alias("length"))
 
 
-def old_nodes(mapping: DataFrame, roots: DataFrame, stage: str = "utig1-") -> DataFrame:
+def old_nodes(mapping: DataFrame, roots: DataFrame, stage: str) -> DataFrame:
     """(name, old): the nodes of an earlier stage, told by their prefix, that derived nodes consist of."""
     return lineage_leaves(mapping, roots).select("name", P.bare(F.col("leaf")).alias("old")).where(F.col("old").startswith(stage)).distinct()
 
