@@ -30,8 +30,8 @@ def cases():
         (S.scaled_gap(F.col("n")), {"n": 10**6}, 100000),
         (S.scaffold_gap(F.col("n")), {"n": 10.0}, 5000),
         (S.identity(F.col("s")), {"s": "id:f:0.98"}, 0.98),
-        (S.base_name(F.col("s")), {"s": "utig_3_2"}, "utig_3"),
-        (S.base_name(F.col("s")), {"s": "utig_cut1"}, "utig_cut1"),
+        (S.base_name(F.col("s")), {"s": "node_3_2"}, "node_3"),
+        (S.base_name(F.col("s")), {"s": "node_cut1"}, "node_cut1"),
         (S.truth(F.col("s")), {"s": "Yes"}, True),
         (S.segment_length(F.col("s"), F.col("t")), {"s": "*", "t": ["LN:i:7", "ll:f:2.5"]}, 7),
         (S.coverage_tag(F.col("t")), {"t": ["LN:i:7", "ll:f:2.5"]}, 2.5),
