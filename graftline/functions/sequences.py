@@ -16,10 +16,18 @@ def homopolymer_compressed(seq: Column) -> Column:
     return F.regexp_replace(seq, r"(?s)(.)\1+", "$1")
 
 
+def windows(texts: Column, k: int) -> Column:
+    """For each ASCII text of an array, all its substrings of k characters, in order.
+
+    Bytes are sliced in constant time, where characters of a string would be counted from its start.
+    """
+    of = lambda b: F.when(F.length(b) >= k, F.transform(F.sequence(F.lit(1), F.length(b) - (k - 1)), lambda i: F.substring(b, i, F.lit(k)).cast("string"))).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.transform(texts, lambda s: s.cast("binary")), of)
+
+
 def kmers(seq: Column, k: int) -> Column:
     """All k-mers without an N, in order."""
-    pieces = F.filter(F.split(seq, "N"), lambda s: F.length(s) >= k)
-    return F.flatten(F.transform(pieces, lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1)), lambda i: F.substring(s, i, F.lit(k)))))
+    return F.flatten(windows(F.split(seq, "N"), k))
 
 
 def canonical_kmer(kmer: Column) -> Column:

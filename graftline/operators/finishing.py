@@ -240,15 +240,14 @@ def homozygous_groups(links: DataFrame) -> DataFrame:
 
 def minimizers(reads: DataFrame, k: int = 15, w: int = 10) -> DataFrame:
     """(read, pos, kmer): of every w neighbouring canonical k-mers the one with the smallest hash, leftmost."""
-    def hashed(seq: Column) -> Column:
-        kmer = F.transform(F.sequence(F.lit(1), F.length(seq) - (k - 1)), lambda i: S.canonical_kmer(F.substring(seq, i, F.lit(k))))
-        return F.transform(kmer, lambda x, i: F.struct(F.xxhash64(x).alias("h"), i.alias("i"), x.alias("x")))
+    def hashed(kmer: Column) -> Column:
+        return F.transform(kmer, lambda x, i: F.struct(F.xxhash64(S.canonical_kmer(x)).alias("h"), i.alias("i"), S.canonical_kmer(x).alias("x")))
 
     def smallest(s: Column) -> Column:
         return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(s) - (w - 1)), lambda i: F.array_min(F.slice(s, i, w))))
 
     # An array of one element hands the k-mers on, so that they are made once and not for every window.
-    picked = F.element_at(F.transform(F.transform(F.array("seq"), hashed), smallest), 1)
+    picked = F.element_at(F.transform(F.transform(S.windows(F.array("seq"), k), hashed), smallest), 1)
     rows = reads.where(F.length("seq") >= k + w - 1).select("read", F.explode(picked).alias("m"))
     return rows.select("read", F.col("m.i").alias("pos"), F.col("m.x").alias("kmer"))
 

@@ -159,7 +159,7 @@ def containing(sequences: DataFrame, patterns: DataFrame, k: int = 15) -> DataFr
 
     A pattern's first k characters find the candidates by an equality join.
     """
-    seeds = sequences.select("id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("seq") - (k - 1), F.lit(1))), lambda i: F.substring(F.col("seq"), i, F.lit(k))))).alias("seed"))
+    seeds = sequences.select("id", F.explode(F.array_distinct(F.flatten(S.windows(F.array("seq"), k)))).alias("seed"))
     found = patterns.where(F.length("pseq") >= k).withColumn("seed", F.substring("pseq", 1, k)).join(seeds, "seed")
     return found.join(sequences, "id").where(F.contains("seq", "pseq")).select("id", "pattern").distinct()
 
