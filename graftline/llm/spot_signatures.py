@@ -2,8 +2,9 @@
 
 A common word (an anchor) and the next CHAIN content words behind it make a signature; a
 document's fingerprint is its set of signatures as hashes, in order. Texts with fewer than FEW of them
-also take chains of CHAIN words from every place, or their whole words if there are fewer, so that
-short texts and texts in other languages can be told apart and found again too.
+(FEW is infinite: all texts) also take chains of CHAIN words from every place, or their whole words if there
+are fewer, so that short texts and texts in other languages can be told apart and found again too.
+No signature depends on words far from it, so an edit changes only the signatures near it.
 Likeness is the Jaccard index of two fingerprints.
 
 `near_pairs` finds all pairs from a likeness on: equal fingerprints are one class, classes fall
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import neighbours, saved, table
 
 CHAIN = 2
-FEW = 16
+# Infinite: with a finite one, an edit that gains or loses an anchor could replace nearly the whole fingerprint.
+FEW = float("inf")
 HASH_BITS = 48
 SIMILAR = 0.8
 # The most frequent function words of English, German, French and Spanish.
@@ -111,10 +113,10 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows id, text, n_chars, tail (the next document's first n_chars / 4 code points), next_signs.
+    """Rows id, text, n_chars, tail (the next document's first n_chars / 4 code points), next_text.
 
-    The texts are shuffled once, by identifier: a document meets its predecessor's need, and what
-    the predecessor needs of it travels on.
+    The texts are shuffled once, by identifier, and once more to their predecessors: a text takes less
+    space than its signatures.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     keys = saved(rows.select("id", "h", F.length("text").cast("long").alias("n_chars")).groupBy("id", "h").agg(F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("n")))
@@ -126,18 +128,18 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = linked.select(F.col("id").alias("own_id"), F.col("h").alias("own_h"), F.floor(F.col("n_chars") / 4).cast("int").alias("need"), F.col("next.id").alias("next_id"), F.col("next.h").alias("next_h"))
     keyed = rows.hint("merge")
     given = keyed.join(wanted, keyed["id"].eqNullSafe(F.col("next_id")) & (keyed["h"] == F.col("next_h")))
-    given = given.select("own_id", "own_h", F.expr("left(text, need)").alias("tail"), signatures(F.col("text")).alias("next_signs"))
+    given = given.select("own_id", "own_h", F.col("text").alias("next_text"), "need")
     if repeated:
         given = given.dropDuplicates(["own_id", "own_h"])
     out = keyed.join(given, keyed["id"].eqNullSafe(F.col("own_id")) & (keyed["h"] == F.col("own_h")))
-    return out.select("id", "text", F.length("text").cast("long").alias("n_chars"), "tail", "next_signs")
+    return out.select("id", "text", F.length("text").cast("long").alias("n_chars"), F.expr("left(next_text, need)").alias("tail"), "next_text")
 
 
 def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = edited_and_next(table(spark, sf_dir, "documents"))
     edited = F.concat(F.expr("left(text, cast(n_chars - floor(n_chars / 4) as int))"), F.col("tail"))
     rows = rows.withColumn("edited", edited)
-    signed = rows.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("text")).alias("own"), signatures(F.col("edited")).alias("other"), "next_signs")
+    signed = rows.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("text")).alias("own"), signatures(F.col("edited")).alias("other"), signatures(F.col("next_text")).alias("next_signs"))
     return signed.select(
         F.col("id").alias("doc_id"),
         "n_chars",

@@ -77,3 +77,14 @@ def test_near_pairs_against_brute_force(spark):
     want = {(a, b) for a, b in itertools.combinations(reps, 2) if sets[a] and sets[b] and jaccard(sets[a], sets[b]) >= 0.8}
     assert {(r.a, r.b) for r in pairs.collect()} == want and want
     assert pairs.where(F.col("a") >= F.col("b")).count() == 0
+
+
+def test_likeness_across_any_number_of_signatures(spark):
+    """An edit that gains or loses one anchor costs as little in texts with few as in texts with many of them."""
+    rows = []
+    for n in range(12, 21):
+        sentences = [f"word{i} the left{i} right{i} other{i} more{i}" for i in range(n)]
+        rows.append((n, " ".join(sentences), " ".join([*sentences[:-1], sentences[-1].replace("the", "thee")])))
+    both = spark.createDataFrame(rows, "n int, a string, b string")
+    got = {r.n: r.x for r in both.select("n", spot.likeness(spot.signatures(F.col("a")), spot.signatures(F.col("b"))).alias("x")).collect()}
+    assert min(got.values()) > 0.85 and max(got.values()) - min(got.values()) < 0.05
