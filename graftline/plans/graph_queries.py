@@ -167,8 +167,8 @@ def read_layout(spark: Spark, sf: str) -> Frame:
     nodes = w.select(F.explode("path").alias("s")).select(P.bare(F.col("s")).alias("node")).distinct().withColumn("length", (100 + 10 * F.length("node")).cast("long"))
     contigs = w.where("size(path) >= 3").select(F.col("read").alias("contig"), "path")
     size = F.aggregate("path", F.lit(0).cast("long"), lambda s, x: s + 100 + 10 * (F.length(x) - 1))
-    reads = w.where("size(path) BETWEEN 2 AND 3").select("read", size.alias("rlen"), F.lit(0).alias("rstart"), "path", size.alias("plen"), F.lit(0).alias("pstart"), size.alias("pend"))
-    return L.layout(reads, contigs, nodes)
+    reads = w.select("read", size.alias("rlen"), F.lit(0).alias("rstart"), "path", size.alias("plen"), F.lit(0).alias("pstart"), size.alias("pend"))
+    return L.layout(reads, contigs, nodes, max_copies=None, max_matches=None)
 
 
 @query()
