@@ -174,7 +174,7 @@ def read_layout(spark: Spark, sf: str) -> Frame:
 @query()
 def overlap_candidates(spark: Spark, sf: str) -> Frame:
     reads = B.seqs(spark, sf).select(F.col("id").alias("read"), "seq")
-    return FI.overlap_candidates(FI.minimizers(reads, 11, 8), most=50, least=3)
+    return FI.overlap_candidates(FI.minimizers(reads, 11, 8))
 
 
 @query("""WITH p AS (SELECT l_orderkey AS path, l_linenumber AS pos, l_partkey AS node, CAST(l_quantity AS BIGINT) AS len, l_suppkey FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1),

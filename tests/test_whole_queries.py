@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+from graftline.operators import finishing as FI
 from graftline.operators import layout as L
 from graftline.plans import registry
 
@@ -66,3 +68,18 @@ def test_layout_without_limits(spark):
     reads = spark.createDataFrame([("r", 100, 0, [">n"], 0, 100)], "read string, rlen long, rstart long, path array<string>, pstart long, pend long")
     assert L.layout(reads, contigs, nodes).count() == 0
     assert L.layout(reads, contigs, nodes, max_copies=None, max_matches=None).count() == 1001
+
+
+def test_overlap_candidates_counts_minimizers_on_many_reads(spark, tmp_path):
+    rng = random.Random(9)
+    bases = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    common, rare = bases(60), bases(22)
+    rows = [(i, bases(40) + common + bases(20)) for i in range(55)] + [(100, rare + bases(30)), (101, bases(30) + rare), (102, bases(70))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    reads = defaultdict(set)
+    for r in FI.minimizers(spark.createDataFrame(rows, "read long, seq string"), 11, 8).collect():
+        reads[r.kmer].add(r.read)
+    assert max(map(len, reads.values())) > 50
+    shared = Counter(pair for found in reads.values() for pair in itertools.combinations(sorted(found), 2))
+    got = {(r.a, r.b): r.shared for r in registry.QUERIES["overlap_candidates"](spark, str(tmp_path)).collect()}
+    assert got == {pair: n for pair, n in shared.items() if n >= 2} and len(got) >= 55 * 54 // 2
