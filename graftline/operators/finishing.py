@@ -61,9 +61,14 @@ def whole_alignments(rows: DataFrame, max_clip: int) -> DataFrame:
     return rows.where(read_end | path_end)
 
 
+def steps_near_path_ends(steps: DataFrame, distance: int) -> DataFrame:
+    """The steps (path, pos, node, len) within `distance` of either end of their path, with `before` and `after`."""
+    return I.end_distances(steps).where((F.col("before") < distance) | (F.col("after") < distance))
+
+
 def near_path_ends(steps: DataFrame, distance: int) -> DataFrame:
     """(node): nodes of steps (path, pos, node, len) within `distance` of either end of their path."""
-    return I.end_distances(steps).where((F.col("before") < distance) | (F.col("after") < distance)).select("node").distinct()
+    return steps_near_path_ends(steps, distance).select("node").distinct()
 
 
 # lineage

@@ -83,3 +83,16 @@ def test_overlap_candidates_counts_minimizers_on_many_reads(spark, tmp_path):
     shared = Counter(pair for found in reads.values() for pair in itertools.combinations(sorted(found), 2))
     got = {(r.a, r.b): r.shared for r in registry.QUERIES["overlap_candidates"](spark, str(tmp_path)).collect()}
     assert got == {pair: n for pair, n in shared.items() if n >= 2} and len(got) >= 55 * 54 // 2
+
+
+def test_near_path_ends_keeps_rows_that_repeat_their_key(spark, tmp_path):
+    rows = [(1, 1, 10, 1, 30), (1, 1, 11, 1, 30), (1, 2, 12, 1, 30), (1, 3, 13, 1, 30), (1, 3, 14, 1, 5), (1, 3, 14, 1, 5), (2, 1, 20, 1, 9), (2, 1, 21, 1, 2), (2, 2, 22, 1, 50)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = Counter()
+    for path in {r[0] for r in rows}:
+        own = sorted(r for r in rows if r[0] == path)
+        for i, r in enumerate(own):
+            if min(sum(x[4] for x in own[:i]), sum(x[4] for x in own[i + 1 :])) < 10:
+                want[path, r[2]] += 1
+    got = {(r.path, r.node): r.n for r in registry.QUERIES["near_path_ends_all_rows"](spark, str(tmp_path)).collect()}
+    assert got == want == {(1, 10): 1, (1, 14): 2, (2, 20): 1, (2, 21): 1, (2, 22): 1}
