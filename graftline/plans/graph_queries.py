@@ -144,7 +144,7 @@ def phased_components(spark: Spark, sf: str) -> Frame:
     nodes = link_nodes(spark, sf)
     member = G.graph_components(nodes, link_arcs(spark, sf))
     weight = B.links(spark, sf).select("a", "b", (F.pmod(F.xxhash64("a", "b"), F.lit(9)) - 3).cast("double").alias("w"))
-    return PH.phased(member, weight, seeds=10)
+    return PH.phased(member, weight)
 
 
 @query(f"""WITH RECURSIVE {B.IVALS}, c AS (SELECT key AS node, s AS pos FROM ivals), l AS (SELECT DISTINCT key AS node, 4000 AS length FROM ivals),

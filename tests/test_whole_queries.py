@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 from graftline.operators import finishing as FI
 from graftline.operators import layout as L
+from graftline.operators import phasing as PH
 from graftline.plans import registry
 
 
@@ -96,3 +97,13 @@ def test_near_path_ends_keeps_rows_that_repeat_their_key(spark, tmp_path):
                 want[path, r[2]] += 1
     got = {(r.path, r.node): r.n for r in registry.QUERIES["near_path_ends_all_rows"](spark, str(tmp_path)).collect()}
     assert got == want == {(1, 10): 1, (1, 14): 2, (2, 20): 1, (2, 21): 1, (2, 22): 1}
+
+
+def test_phased_components_tries_all_starts(spark, tmp_path, monkeypatch):
+    tried = []
+    bisections = PH.phased
+    monkeypatch.setattr(PH, "phased", lambda nodes, links, seeds=100: tried.append(seeds) or bisections(nodes, links, seeds))
+    rows = [(i % 9, i % 7, 50.0, 0.1) for i in range(60)]
+    spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_quantity double, l_discount double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    sides = registry.QUERIES["phased_components"](spark, str(tmp_path))
+    assert tried == [100] and sides.count() == 16
