@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from graftline.operators.iterate import components, hinted, saved, shared_dir, small, written
 
-__all__ = ["SPACE", "WORD", "components", "hinted", "neighbours", "running_sum", "tidied", "saved", "shared_dir", "small", "table", "word_count", "written"]
+__all__ = ["SPACE", "WORD", "components", "fresh", "hinted", "neighbours", "running_sum", "tidied", "saved", "shared_dir", "small", "table", "without", "word_count", "written"]
 
 #: A word is a run of anything but ASCII white space; a space is a run of that.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as it takes to clash with no column of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
+    """docs without the rows whose identifier is in the one column of `lost`; a null stays unless null is in it."""
+    name = fresh(docs, "lost")
+    return docs.join(hinted(lost.toDF(name)), F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as none. A word begins wherever the split leaves a non-empty part."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{SPACE}|{SPACE}$", "")

@@ -1,13 +1,14 @@
 """MinHash near-duplicates by bottom-k sketches from one hash function.
 
 1. Each document becomes its set of word shingles, hashed to 64 bits; its sketch is the KEEP
-   smallest hashes. Equal sets form a class, named by its smallest identifier.
+   smallest hashes. Texts of equal words (by SHA-256) form a class, named by its smallest identifier.
 2. Inverted lists: keys are runs of RUN consecutive retained values (half of them, chosen by hash, for sets
    larger than the sketch; single values for tiny sets). Two sets over the threshold share many runs.
    Sets as large as the sketch or smaller share a key with certainty, larger ones with a probability that
    differs from 1 by less than 1e-5 at the threshold itself (tests measure it).
 3. Every member of a list is compared with the list's leader: union sketches estimate the similarity and
-   drop pairs far below the threshold, the full sets confirm the rest. Confirmed links make components.
+   drop pairs far below the threshold, the full sets confirm the rest: shingles count as equal only when
+   their words are, byte for byte, so no link rests on a hash. Confirmed links make components.
 4. Lists whose members are not all connected by then are finished exactly: short ones by all pairs from
    different components, long ones in blocks of bounded size, in which the members outside the list's
    largest component meet all members; a block returns links of a spanning forest only. So no link that
@@ -21,11 +22,13 @@ comparisons, spread over blocks: the exact way has this price.
 
 Defined results: words are cut at ASCII white space; with fewer words than a shingle, the whole sequence is one shingle;
 null and wordless texts have no shingles and are linked with nothing; rows with the same identifier count as one
-document, linked by it; a null identifier is kept and linked to nothing.
+document, linked by it; a null identifier is kept and linked to nothing; identifiers are whole numbers. Other columns are
+not read and may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, hinted, saved, table, tidied, written
-from .word_hashes import Words, chunks, mix, run_hash
+from .common import components, hinted, saved, table, tidied, without, written
+from .word_hashes import chunks, exact_shingles, run_hash, shingle_sets
 
 SHINGLE, PERCENT = 5, 80
 KEEP = 64
@@ -46,23 +49,8 @@ MARGIN = 0.25
 SHORT_LIST = 32
 #: Shingles that a block of a long list holds, of members and of those outside the largest component.
 BLOCK_ALL, BLOCK_FEW = 750_000, 300_000
-
-
-def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes, text by text, and how many each text has."""
-    w = Words(texts, lower=True)
-    at, h = w.runs(size)
-    doc = np.repeat(np.arange(len(texts)), np.maximum(0, w.count - size + 1))
-    for n in range(1, size):
-        few = np.flatnonzero(w.count == n)
-        if len(few):
-            h = np.r_[h, mix(run_hash(w.hash, w.first[few], n), np.uint64(n))]
-            doc = np.r_[doc, few]
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    keep = np.ones(len(h), bool)
-    keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return h[keep], np.bincount(doc[keep], minlength=len(texts))
+#: Rows of the same.
+ROWS_ALL, ROWS_FEW = 3_000, 1_500
 
 
 def _keys(sketch: np.ndarray, n: int) -> np.ndarray:
@@ -82,13 +70,13 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 def _sketched(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, texts in chunks(batch.column(1)):
-            h, count = shingle_sets(texts, size)
-            ends = np.cumsum(count)
-            sums = [np.r_[np.uint64(0), np.cumsum(mix(h, np.uint64(key)))] for key in (11, 12)]
-            digests = [(s[ends] - s[ends - count]).view(np.int64) for s in sums]
+            h, n, good = exact_shingles(texts, size)
+            h, count = (h, n) if good else shingle_sets(texts, size)
             kept = np.minimum(count, KEEP)
-            place = np.arange(kept.sum()) - np.repeat(np.cumsum(kept) - kept, kept) + np.repeat(ends - count, kept)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(count, pa.int64()), *map(pa.array, digests), _lists(h[place], kept)], names=["id", "n", "d1", "d2", "sketch"])
+            place = np.arange(kept.sum()) - np.repeat(np.cumsum(kept) - kept, kept) + np.repeat(np.cumsum(count) - count, kept)
+            whole = b"".join(hashlib.sha256(b" ".join(t.lower().split())).digest()[:16] for t in texts)
+            digests = np.frombuffer(whole, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(n, pa.int64()), *(pa.array(digests[:, i]) for i in (0, 1)), _lists(h[place], kept)], names=["id", "n", "d1", "d2", "sketch"])
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,8 +120,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> It
             while at < len(batch) and (at == first or sum(map(len, texts)) < 1_000_000):
                 texts += [(batch.column(i)[at].as_py() or "").encode("utf-8", "surrogatepass") for i in (2, 3)]
                 at += 1
-            h, count = shingle_sets(texts, size)
-            # Hashes of one pair that occur twice are in both sets.
+            h, count, _ = exact_shingles(texts, size)
+            # Numbers of one pair that occur twice are in both sets.
             pair = np.repeat(np.arange(len(texts)) // 2, count)
             order = np.lexsort((h, pair))
             h, pair = h[order], pair[order]
@@ -156,8 +144,15 @@ def _block_links(group: pa.Table, size: int, percent: int) -> pa.Table:
             x = parent[x]
         return x
 
+    def linked(i: int, j: int) -> bool:
+        """Whether the texts are linked, by their words and not by hashes of these."""
+        h, c, _ = exact_shingles([(column[k].as_py() or "").encode("utf-8", "surrogatepass") for k in (i, j)], size)
+        shared = int(c.sum()) - len(np.unique(h))
+        return 100 * shared >= percent * (int(c.sum()) - shared)
+
     sets, counts = [], []
-    for _, texts in chunks(group.column("text").chunk(0) if group.num_rows else pa.array([], pa.string())):
+    column = group.column("text").chunk(0) if group.num_rows else pa.array([], pa.string())
+    for _, texts in chunks(column):
         h, c = shingle_sets(texts, size)
         sets.append(h)
         counts.append(c)
@@ -174,7 +169,7 @@ def _block_links(group: pa.Table, size: int, percent: int) -> pa.Table:
             shared[full] = np.add.reduceat(mark[flat], starts[full])
             for j in np.flatnonzero((100 * shared >= percent * (count + count[i] - shared)) & full).tolist():
                 x, y = root(labels[i]), root(labels[j])
-                if x != y:
+                if x != y and linked(i, j):
                     parent[max(x, y)] = min(x, y)
                     links.append((reps[i], reps[j]))
     a, b = zip(*links, strict=True) if links else ((), ())
@@ -233,7 +228,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long_ = left.where(F.col("m") > SHORT_LIST)
     if not long_.isEmpty():
         sized = written(long_.join(reps.groupBy("rep").agg(F.max("n").alias("n")), "rep").withColumn("few", F.col("comp") != F.col("top")))
-        parts = sized.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ALL).cast("int").alias("pa"), F.ceil(F.sum(F.when(F.col("few"), F.col("n"))) / BLOCK_FEW).cast("int").alias("pf"))
+        blocks = lambda some, shingles, most: F.ceil(F.greatest(F.sum(F.when(some, F.col("n"))) / shingles, F.count(F.when(some, 1)) / most)).cast("int")
+        parts = sized.groupBy("key").agg(blocks(F.lit(True), BLOCK_ALL, ROWS_ALL).alias("pa"), blocks(F.col("few"), BLOCK_FEW, ROWS_FEW).alias("pf"))
         dealt = sized.join(hinted(parts), "key")
         at = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
         every = dealt.select("key", "rep", "comp", F.lit(False).alias("few"), at("pa", 1).alias("i"), F.explode(F.expr("sequence(0, pf - 1)")).alias("j"))
@@ -262,8 +258,8 @@ def _repeats(sketches: DataFrame) -> bool:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs without the rows whose component has a smaller identifier; columns unchanged."""
-    lost = saved(near_components(docs, id_col, text_col, size, percent).where("id <> component").select(F.col("id").alias("_lost")).distinct())
-    return docs.join(hinted(lost), F.col(id_col) == F.col("_lost"), "left_anti")
+    lost = saved(near_components(docs, id_col, text_col, size, percent).where("id <> component").select("id").distinct())
+    return without(docs, id_col, lost)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from graftline.llm import near_dedup as nd
+from graftline.llm import word_hashes
 
 
 def brute(rows, size, percent):
@@ -94,3 +95,22 @@ def test_sketch_keys_of_pairs_at_the_threshold_meet():
                 ka, kb = (set(nd._keys(x[: nd.KEEP], len(x)).tolist()) for x in (a, b))
                 assert ka & kb
                 assert nd.estimates([a[: nd.KEEP]], [b[: nd.KEEP]])[0] >= percent / 100 - nd.MARGIN
+
+
+def test_long_words_that_alike_sums_would_take_for_equal(spark):
+    for letters in (1024, 4096):
+        one = "".join("ab"[bin(i).count("1") % 2] for i in range(letters))
+        rows = [(1, one), (2, one.translate(str.maketrans("ab", "ba"))), (3, one + " tail of it"), (4, one.upper())]
+        got = sorted(map(tuple, nd.near_components(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=85).collect()))
+        assert got == sorted(brute(rows, 3, 85)) and [r[2] for r in got] == [1, 2, 3, 1]
+
+
+def test_shingles_with_equal_hashes_are_told_apart(monkeypatch):
+    texts = [b"a b c d e f", b"a b c d e g", b"A  b c", b"x", b""]
+    sizes = [4, 4, 1, 1, 0]
+    good = nd.exact_shingles(texts, 3)
+    assert good[2] and good[1].tolist() == sizes
+    right = word_hashes.Words._hashes
+    monkeypatch.setattr(word_hashes.Words, "_hashes", lambda self, seed: right(self, seed) % np.uint64(2))
+    numbers, counts, by_hash = nd.exact_shingles(texts, 3)
+    assert not by_hash and counts.tolist() == sizes and len(np.unique(numbers)) == len(np.unique(good[0]))
