@@ -5,46 +5,55 @@ close a WARC record; so archives are committed by Spark's own protocol to any fi
 knows. A payload that an earlier page has too becomes a revisit record that names that page.
 
 Reading: a record must have its version line, headers, length, closing line ends and digests in
-order. Where one of these checks fails, the reader looks for the next version line or gzip
-member that holds a valid record, goes on from there, and logs the skipped bytes as a gap with
-the reason. Plain archives and archives of gzip members can be mixed.
+order (SHA-1, SHA-256, SHA-512 or MD5, in base32 or hex; a digest of another kind is not checked). Where one of these checks fails,
+the reader looks for the next version line or gzip member that holds a valid record, goes on from
+there, and logs the skipped bytes as a gap with the reason. A gzip member is salvaged inside: of a damaged or
+truncated one, what could be inflated is searched alike. Plain archives and archives of gzip members can be mixed.
 
 Scale: one pass over the pages for digests, of which only those that occur more than once travel
-on; they are broadcast only below a counted size. Archives hold about ARCHIVE_BYTES each, so that reading
-one fits in a task.
+on; they are broadcast only below a counted size. Pages are written by classes of size, so that an archive holds
+2 * ARCHIVE_BYTES or one record, whatever the pages next to each other are; reading one fits in a task. The
+reader's work is linear in the archive: each byte is searched once for either kind of start, members are inflated in slices, and what
+a member inflates to is bounded by INFLATED_BYTES (the rest is a gap). Archives from elsewhere are read whole, one in a task.
 
 Defined results: null html is an empty payload; a null url has no target header; control
 characters in urls are percent-encoded; rows that repeat the smallest page_id are all responses;
-a null page_id is a revisit of any other; an empty table gives no records.
+a null page_id is a revisit of any other; other columns are not read and may have any name; an empty table gives no records.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import hinted, shared_dir, table
 
-VERSION = b"WARC/1."
+VERSION, MEMBER = b"WARC/", b"\x1f\x8b\x08"
+VERSION_LINE = re.compile(rb"WARC/\d\.\d+\r\n")
 CRLF = b"\r\n"
 END = b"\r\n\r\n"
 #: Payloads shorter than this are always responses.
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32_000_000
+#: Headers of a record, and what a gzip member may inflate to.
+HEADER_BYTES, INFLATED_BYTES = 1 << 20, 1 << 28
+SLICE = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 @dataclass
 class Record:
-    """A record that passed all checks, with its place in the archive."""
+    """A record that passed all checks, with its place in the archive (of its gzip member, if it is in one)."""
 
     headers: dict[str, str]
     payload: bytes
@@ -63,19 +72,52 @@ class Damaged(ValueError):
     """Why there is no valid record at a place."""
 
 
-def _plain(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
-    """Headers, payload and end of the record whose version line begins at `at`."""
-    if not data.startswith(VERSION, at):
-        raise Damaged("no version line")
-    close = data.find(END, at)
-    if close < 0:
-        raise Damaged("headers don't end")
-    headers: dict[str, str] = {}
-    for line in data[at:close].split(CRLF)[1:]:
+class Starts:
+    """The next places of some patterns; nothing is searched twice as long as places only grow."""
+
+    def __init__(self, data: bytes, patterns: tuple[bytes, ...]):
+        self.data, self.next = data, dict.fromkeys(patterns, -1)
+
+    def after(self, at: int) -> int:
+        for pattern, place in self.next.items():
+            if place < at:
+                found = self.data.find(pattern, at)
+                self.next[pattern] = found if found >= 0 else len(self.data)
+        return min(self.next.values())
+
+
+def digest_matches(value: str, data: bytes) -> bool | None:
+    """Whether data has the digest `algorithm:value`; None if the algorithm is not known."""
+    name, _, text = value.partition(":")
+    if (name := name.lower().replace("-", "")) not in ("md5", "sha1", "sha256", "sha512"):
+        return None
+    digest, text = hashlib.new(name, data, usedforsecurity=False).digest(), text.strip()
+    return text.lower() == digest.hex() or text.rstrip("=").upper() == base64.b32encode(digest).decode().rstrip("=")
+
+
+def _headers(raw: bytes) -> dict[str, str]:
+    out: dict[str, str] = {}
+    last = ""
+    for line in raw.split(CRLF)[1:]:
+        if line[:1] in (b" ", b"\t") and last:
+            out[last] += " " + line.decode("utf-8", "replace").strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("malformed header")
-        headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        last = name.decode("latin-1").strip().lower()
+        out[last] = value.decode("utf-8", "replace").strip()
+    return out
+
+
+def _plain(data: bytes, at: int, sure: bool = False) -> tuple[dict[str, str], bytes, int]:
+    """Headers, payload and end of the record whose version line begins at `at`; `sure` asks for a digest that holds."""
+    if not VERSION_LINE.match(data, at):
+        raise Damaged("no version line")
+    close = data.find(END, at, at + HEADER_BYTES)
+    if close < 0:
+        raise Damaged("headers don't end")
+    headers = _headers(data[at:close])
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Damaged("no content length")
@@ -90,50 +132,96 @@ def _plain(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
             raise Damaged("no HTTP headers")
     else:
         payload = block
-    if (digest := headers.get("warc-block-digest")) and digest != "sha256:" + hashlib.sha256(block).hexdigest():
-        raise Damaged("block digest doesn't match")
-    digest = headers.get("warc-payload-digest")
-    if digest and headers.get("warc-type") != "revisit" and digest != "sha256:" + hashlib.sha256(payload).hexdigest():
-        raise Damaged("payload digest doesn't match")
+    checked = False
+    for name, part in (("block", block), ("payload", payload)):
+        if (digest := headers.get(f"warc-{name}-digest")) and not (name == "payload" and headers.get("warc-type") == "revisit"):
+            good = digest_matches(digest, part)
+            if good is False:
+                raise Damaged(f"{name} digest doesn't match")
+            checked = checked or good is True
+    if sure and not checked:
+        raise Damaged("no digest in a damaged member")
     return headers, payload, stop + len(END)
 
 
-def _member(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the gzip member that begins at `at`, and its end."""
-    inflate = zlib.decompressobj(31)
-    try:
-        inner = inflate.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise Damaged(f"gzip member: {e}") from None
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at `at` inflates to, its end, and what is wrong with it (empty: nothing)."""
+    inflate, view, out, size, place = zlib.decompressobj(31), memoryview(data), [], 0, at
+    step = 1 << 10
+    while not inflate.eof and place < len(data):
+        before, piece = inflate.copy(), view[place : place + step]
+        try:
+            got = inflate.decompress(piece, INFLATED_BYTES - size + 1)
+        except zlib.error as e:
+            for i in range(len(piece)):  # what comes before the damage
+                try:
+                    out.append(before.decompress(piece[i : i + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), max(place + i, at + 1), f"gzip member: {e}"
+        out.append(got)
+        size += len(got)
+        place += len(piece)
+        if size > INFLATED_BYTES:
+            return b"".join(out), place, "gzip member inflates to too much"
+        step = min(SLICE, step * 2)
     if not inflate.eof:
-        raise Damaged("gzip member is truncated")
-    found, i = [], 0
-    while i < len(inner):
-        headers, payload, i = _plain(inner, i)
-        found.append((headers, payload))
-    return found, len(data) - len(inflate.unused_data)
+        return b"".join(out), place, "gzip member is truncated"
+    return b"".join(out), place - len(inflate.unused_data), ""
+
+
+def _searched(data: bytes, sure: bool) -> Salvaged:
+    """All valid records of plain bytes and the ranges between them."""
+    out, at, lost, why, starts = Salvaged(), 0, -1, "", Starts(data, (VERSION,))
+    while at < len(data):
+        try:
+            headers, payload, end = _plain(data, at, sure)
+        except Damaged as e:
+            if lost < 0:
+                lost, why = at, str(e)
+            at = starts.after(at + 1)
+            continue
+        if lost >= 0:
+            out.gaps.append((lost, at, why))
+            lost = -1
+        out.records.append(Record(headers, payload, at, end))
+        at = end
+    if lost >= 0:
+        out.gaps.append((lost, len(data), why))
+    return out
 
 
 def salvage(data: bytes) -> Salvaged:
-    """All valid records of an archive and the byte ranges between them."""
-    out, at, lost, why = Salvaged(), 0, -1, ""
+    """All valid records of an archive and the byte ranges between them.
+
+    A gap inside a gzip member is told by the member's range, and in its reason by the range of inflated bytes.
+    """
+    out, at, lost, why, starts = Salvaged(), 0, -1, "", Starts(data, (VERSION, MEMBER))
     while at < len(data):
+        found, gaps = [], []
         try:
-            if data.startswith(b"\x1f\x8b", at):
-                found, end = _member(data, at)
+            if data.startswith(MEMBER, at):
+                inner, end, wrong = _inflated(data, at)
+                inside = _searched(inner, sure=wrong.startswith("gzip member:"))
+                found = [Record(r.headers, r.payload, at, end) for r in inside.records]
+                if wrong and not found or not inner.startswith(VERSION) and not found:
+                    raise Damaged(wrong or "no version line")
+                gaps = [(at, end, f"{reason} (inflated bytes {a} to {b})") for a, b, reason in inside.gaps]
+                if wrong:  # the rest of the member is lost, up to the next start that holds something
+                    gaps.append((at, end, wrong))
             else:
                 headers, payload, end = _plain(data, at)
-                found = [(headers, payload)]
+                found = [Record(headers, payload, at, end)]
         except Damaged as e:
             if lost < 0:
                 lost, why = at, str(e)
-            places = [p for p in (data.find(VERSION, at + 1), data.find(b"\x1f\x8b\x08", at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+            at = starts.after(at + 1)
             continue
         if lost >= 0:
             out.gaps.append((lost, at, why))
             lost = -1
-        out.records += [Record(h, p, at, end) for h, p in found]
+        out.records += found
+        out.gaps += gaps
         at = end
     if lost >= 0:
         out.gaps.append((lost, len(data), why))
@@ -164,6 +252,28 @@ def record_text(pages: DataFrame) -> DataFrame:
     return pages.select(F.concat(head, http, F.when(revisit, F.lit("")).otherwise(F.col("html"))).alias("value"))
 
 
+def size_class(n_bytes: Column) -> Column:
+    """The bits that it takes to write the size: sizes of class k are below 2**k."""
+    return F.length(F.bin(n_bytes))
+
+
+def class_ranges(sizes: dict[int, int]) -> list[tuple[int, int]]:
+    """Classes of size that are written together: those that hold nine tenths of all pages, then by twos."""
+    if not sizes:
+        return [(0, 1)]
+    top, seen = 0, 0
+    for k in sorted(sizes):
+        top, seen = k, seen + sizes[k]
+        if 10 * seen >= 9 * sum(sizes.values()):
+            break
+    out = [(0, top)]
+    while max(sizes) > top:
+        low = min(k for k in sizes if k > top)
+        top = low + 1
+        out.append((low, top))
+    return out
+
+
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Writes a record for each row into archives under path."""
     html = F.coalesce(F.col(html_col), F.lit(""))
@@ -171,12 +281,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = rows.select("*", F.octet_length("html").cast("long").alias("n_bytes"), F.sha2("html", 256).alias("digest"))
     groups = rows.where(f"n_bytes >= {REVISIT_BYTES}").groupBy("digest").agg(F.count(F.lit(1)).alias("_n"), F.min("page_id").alias("_first"))
     copies = groups.where("_n > 1").select(F.col("digest").alias("_digest"), "_first")
-    mean = rows.agg(F.avg("n_bytes")).first()[0] or 0
+    sizes = {r.k: r.n for r in rows.groupBy(size_class(F.col("n_bytes")).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = rows.join(hinted(copies), F.col("digest") == F.col("_digest"), "left")
     rows = rows.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first")))
-    out = record_text(rows).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", max(1, int(ARCHIVE_BYTES / (mean + 1000))))
-    out.text(path)
-
+    for low, high in class_ranges(sizes):
+        some = rows.where(size_class(F.col("n_bytes")).between(low, high))
+        most = max(1, 2 * ARCHIVE_BYTES // ((1 << high) + 1000))
+        record_text(some).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", most).text(f"{path}/size-{high}")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +306,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Rows of kind record (headers, payload) or gap (reason), with archive, start and end."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("path", "content")
     return files.mapInArrow(_read, "kind string, archive string, start long, end long, reason string, headers map<string,string>, payload binary")
 
 

@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
+import time
+import zlib
+
+import pytest
 
 from graftline.llm import warc
 
@@ -57,3 +62,74 @@ def test_round_trip_with_revisits(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "e"))
     assert warc.page_records(spark, str(tmp_path / "e")).count() == 0
+
+
+def sha1(payload: bytes) -> str:
+    return "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def test_digests_of_public_crawls():
+    p = b"some payload" * 20
+    good = [sha1(p), "sha1:" + hashlib.sha1(p).hexdigest().upper(), "md5:" + hashlib.md5(p).hexdigest(), "sha-256:" + hashlib.sha256(p).hexdigest(), "blake3:whatever"]
+    data = b"".join(record(i, p, **{"WARC-Payload-Digest": d}) for i, d in enumerate(good))
+    found = warc.salvage(data)
+    assert len(found.records) == 5 and not found.gaps
+    assert warc.salvage(record(1, p, **{"WARC-Payload-Digest": sha1(p + b"x")})).gaps[0][2] == "payload digest doesn't match"
+    folded = record(1, p).replace(b"WARC-Type: response", b"WARC-Type: response\r\nX-Long: one\r\n two")
+    assert warc.salvage(folded).records[0].headers["x-long"] == "one two"
+
+
+def test_salvages_inside_members():
+    a, b, c = (record(i, bytes([65 + i]) * 400) for i in range(3))
+    broken = b.replace(b"B" * 400, b"B" * 399 + b"X")
+    member = gzip.compress(a + broken + c)
+    found = warc.salvage(member + record(9, b"z" * 200))
+    assert ids(found) == ["<urn:page:0>", "<urn:page:2>", "<urn:page:9>"]
+    assert found.gaps == [(0, len(member), f"payload digest doesn't match (inflated bytes {len(a)} to {len(a) + len(broken)})")]
+
+
+@pytest.mark.parametrize("cut", [0.7, 0.9])
+def test_truncated_and_damaged_members_keep_their_first_records(cut):
+    noise = [hashlib.sha256(bytes([i, j])).hexdigest().encode() for i in range(3) for j in range(200)]
+    a, b = record(1, b"".join(noise[:200])), record(2, b"".join(noise[200:]))
+    member = gzip.compress(a + b)
+    short = warc.salvage(member[: int(len(member) * cut)])
+    assert ids(short) == ["<urn:page:1>"] and any("truncated" in g[2] for g in short.gaps)
+    bad = bytearray(member)
+    bad[int(len(bad) * cut)] ^= 255
+    hurt = warc.salvage(bytes(bad) + gzip.compress(record(3, b"c" * 200)))
+    assert ids(hurt) == ["<urn:page:1>", "<urn:page:3>"] and hurt.gaps
+    crc = bytearray(gzip.compress(a + b))
+    crc[-8] ^= 1
+    assert ids(warc.salvage(bytes(crc))) == ["<urn:page:1>", "<urn:page:2>"]
+
+
+def test_a_member_that_inflates_to_too_much_is_cut(monkeypatch):
+    monkeypatch.setattr(warc, "INFLATED_BYTES", 100_000)
+    found = warc.salvage(gzip.compress(record(1, b"x") + record(2, b"y" * 10_000_000)) + gzip.compress(record(3, b"z")))
+    assert ids(found) == ["<urn:page:1>", "<urn:page:3>"] and any("too much" in g[2] for g in found.gaps)
+
+
+def test_time_is_linear_in_members_and_false_starts():
+    member = gzip.compress(record(1, zlib.compress(hashlib.shake_128(b"x").digest(8000))))
+    took = {}
+    for n in (1000, 4000):
+        began = time.process_time()
+        assert len(warc.salvage(member * n).records) == n
+        took["members", n] = time.process_time() - began
+    for n in (10_000, 40_000):
+        began = time.process_time()
+        found = warc.salvage(b"\x1f\x8b\x08abcdef" * n + record(1, b"x"))
+        assert len(found.records) == 1 and len(found.gaps) == 1
+        took["starts", n] = time.process_time() - began
+    assert took["members", 4000] < 8 * took["members", 1000] + 1 and took["starts", 40_000] < 8 * took["starts", 10_000] + 1
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    rows = [(i, "u", str(i) + "x" * (50_000 if 40 <= i < 46 else 900)) for i in range(80)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    sizes = [p.stat().st_size for p in (tmp_path / "w").rglob("part-*")]
+    assert max(sizes) < 52_000 and len(sizes) < 20
+    assert warc.page_records(spark, str(tmp_path / "w")).count() == 80
+    assert warc.class_ranges({}) == [(0, 1)] and warc.class_ranges({5: 90, 9: 5, 10: 3, 20: 2}) == [(0, 5), (9, 10), (20, 21)]
