@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import table, tidied
+from .common import fresh, table, tidied
 from .sentence_pieces import MARK, public_model
 
 UNDEFINED = "und"
@@ -168,7 +168,7 @@ class Scorer:
         return odds / odds.sum()
 
 
-def scored(batches: Iterator[pa.RecordBatch], langs: Sequence[str], scorer: Scorer, text_at: int, kept: Sequence[int]) -> Iterator[pa.RecordBatch]:
+def scored(batches: Iterator[pa.RecordBatch], langs: Sequence[str], scorer: Scorer, text_at: int, kept: Sequence[int], added: Sequence[str] = (PREDICTED, SCORE)) -> Iterator[pa.RecordBatch]:
     """The kept columns of each batch, then language and score of the column of texts, a few MB at a time."""
     for batch in batches:
         texts, at = batch.column(text_at), 0
@@ -187,7 +187,7 @@ def scored(batches: Iterator[pa.RecordBatch], langs: Sequence[str], scorer: Scor
                 score.append(0.0 if odds is None else float(odds[k]))
             columns = [batch.column(c).slice(at, len(rows)) for c in kept]
             names = [batch.schema.names[c] for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*names, PREDICTED, SCORE])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=[*names, *added])
             at += len(rows)
 
 
@@ -221,7 +221,8 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, path: str,
 
 
 def _predicted(docs: DataFrame, rows: DataFrame, kept: Sequence[str], columns: tuple[str, str, str], path: str | None, most: int) -> DataFrame:
-    """rows (with a column of texts as in docs) reduced to `kept`, with PREDICTED and SCORE."""
+    """rows (with a column of texts as in docs) reduced to `kept`, with PREDICTED and SCORE, or names like these that no column has."""
+    added = [fresh(rows, PREDICTED), fresh(rows, SCORE)]
     id_col, text_col, lang_col = columns
     langs, pieces, p = train(docs, id_col, text_col, lang_col, path or public_model(), most)
     sent = docs.sparkSession.sparkContext.broadcast((langs, pieces, p))
@@ -229,22 +230,23 @@ def _predicted(docs: DataFrame, rows: DataFrame, kept: Sequence[str], columns: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, vocab, probabilities = sent.value
-        return tidied(scored(batches, own, Scorer(vocab, probabilities), text_at, kept_at))
+        return tidied(scored(batches, own, Scorer(vocab, probabilities), text_at, kept_at, added))
 
-    return rows.mapInArrow(run, StructType([*(rows.schema[c] for c in kept), StructField(PREDICTED, StringType()), StructField(SCORE, DoubleType())]))
+    return rows.mapInArrow(run, StructType([*(rows.schema[c] for c in kept), StructField(added[0], StringType()), StructField(added[1], DoubleType())]))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None, most: int = TRAIN_DOCS) -> DataFrame:
     """One row for each row of docs: id, held_out, lang_pred, score."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("_held_out"), F.col(text_col))
-    out = _predicted(docs, rows, ["_id", "_held_out"], (id_col, text_col, lang_col), path, most)
+    rows = docs.select(F.col(id_col).alias(fresh(docs.select(text_col), "_id")), F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias(fresh(docs.select(text_col), "_held_out")), F.col(text_col))
+    out = _predicted(docs, rows, rows.columns[:2], (id_col, text_col, lang_col), path, most).toDF("_id", "_held_out", PREDICTED, SCORE)
     return out.select(F.col("_id").alias("id"), F.col("_held_out").alias("held_out"), F.col(PREDICTED).alias("lang_pred"), F.col(SCORE).alias("score"))
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5, path: str | None = None, most: int = TRAIN_DOCS) -> DataFrame:
     """docs without the rows that have no language or none with a score of `least`; columns unchanged, no shuffle."""
     out = _predicted(docs, docs, docs.columns, (id_col, text_col, lang_col), path, most)
-    return out.where((F.col(PREDICTED) != UNDEFINED) & (F.col(SCORE) >= least)).select(*docs.columns)
+    predicted, score = out.columns[-2:]
+    return out.where((F.col(predicted) != UNDEFINED) & (F.col(score) >= least)).select(*docs.columns)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,3 +41,31 @@ def test_empty_and_wordless_tables(spark):
     assert mixing.mix(docs).count() == 0
     got = mixing.mix(spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")).collect()
     assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_the_mix_comes_out_in_the_order_of_the_schedule(spark, tmp_path):
+    """Every stretch of the mix has the sources near their targets; without the schedule's order it would not."""
+    rows = [(i, "w " * 20, "a" if i < 600 else "b" if i < 1400 else "c", *range(8)) for i in range(2000)]
+    names = ["key", "of", "total", "rows", "slots", "turn", "copy", "slot"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    out.write.parquet(str(tmp_path / "mix"))
+    parts = sorted((tmp_path / "mix").glob("part-*"))
+    seen = [s for p in parts for s in spark.read.parquet(str(p)).toPandas()["source"]]
+    share = {r.source: r.target for r in mixing.mix(docs).select("source", "target").distinct().collect()}
+    total = sum(share.values())
+    assert abs(len(seen) - total / 20) < 4
+    for n in range(200, len(seen), 100):
+        for s, target in share.items():
+            assert abs(seen[:n].count(s) / n - target / total) < 0.06
+    first = {r.id: r.slots[0] for r in mixing.mix(docs).collect() if r.slots}
+    assert all(0 <= x < 1 for x in first.values()) and len(set(first.values())) > 1000
+
+
+def test_repeated_identifiers_share_what_they_take(spark):
+    rows = [(i // 4, f"{'w ' * (i % 5)}", "x" if i < 300 else "y") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    times = sum(1 if r.size == 0 else int(r.taken / r.size + 0.5) for r in mixing.mix(docs).collect())
+    got = mixing.mixed(docs)
+    assert got.count() == times and got.columns == docs.columns

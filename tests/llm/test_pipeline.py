@@ -4,12 +4,13 @@ import hashlib
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline
-from graftline.llm import language_id, mixing
+from graftline.llm import language_id, mixing, registry
 
 from .test_near_dedup import brute
 
@@ -74,3 +75,27 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs.limit(0), SF)
         assert out.columns == docs.columns and out.count() == 0
+
+
+def test_stages_take_clashing_columns_nulls_and_repeats(spark):
+    names = "lost twice digest own turn kept key of total rows slots copy slot id h sketch rep label component times _lost _id _times _lang_pred _lang_score _twice _d".split()
+    rows = [(1, "the house and the garden " * 20, "en", "a"), (2, "the house and the garden " * 20, None, "a"), (3, None, "en", None), (4, "", "de", "b"), (5, "das Haus und der Garten sind " * 20, "de", "b"), (5, "das Haus und der Garten sind " * 20, "de", "b"), (6, "word " * 50_000, "en", "c"), (7, "das Haus und der Garten sind " * 21 + "neu", "de", "b")]
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} int" for n in names))
+    want = [{1, 2, 5, 6, 7}, {1, 3, 5, 6, 7}, {1, 3, 4, 5, 6}]
+    for (_, stage), ids in zip(corpus_pipeline.STAGES[:-1], [*want, None], strict=True):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        got = {r.doc_id for r in out.collect()}
+        assert ids is None or got == ids
+
+
+def test_sql_of_the_operators(spark):
+    con = duckdb.connect()
+    for name in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    for name, sql in registry.ORACLE_SQL.items():
+        got, want = registry.QUERIES[name](spark, SF), con.execute(sql)
+        columns = [d[0] for d in want.description]
+        text = lambda v: f"{v:.9g}" if isinstance(v, float) else str(v)
+        assert sorted(columns) == sorted(got.columns)
+        assert sorted([text(v) for v in r] for r in got.select(*columns).collect()) == sorted([text(v) for v in r] for r in want.fetchall())
