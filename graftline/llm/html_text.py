@@ -9,15 +9,17 @@ Alone, this gives wrong results in two ways: a footer or advert that differs fro
 stays, and an article that a site publishes twice goes. So the markup decides first: lines
 inside menus, headers, footers, sidebars, notices, adverts, forms and reader comments go whether shared or
 not, and lines inside an `article` (or, without one, `main`) element stay, shared or not. Lines that the
-markup says nothing about are kept or deleted by the differencing; that is, the lines of pages without
-such an element. If all lines of such a page are shared, the two pages are copies and none is deleted.
+markup says nothing about are kept or deleted by the differencing: those of pages without
+such an element, and those inside `main` but beside its article. If all lines of a page without such an element are shared, the two pages are
+copies and none is deleted. Words in class and id count only where the whole name is made of them and of words of layout,
+so `share-price` or `ad-hoc-query` mark nothing.
 
 Scale: pages travel as one 32-bit hash for each line; ordering is by ranges of (host, path), so one
 host may hold most pages. Only the pages that lose lines get a list of them back, by broadcast below
 a counted size and by a shuffled join above it.
 
 Defined results: null html gives an empty text; a null url is a host of its own; rows that repeat
-page_id, url and html get equal results; an empty table gives no rows. White space is what Python's str.split() takes it to be.
+page_id, url and html get equal results; very long pages are parsed whole; other columns are not read and may have any name; an empty table gives no rows. White space is what Python's str.split() takes it to be.
 """
 
 from __future__ import annotations
@@ -53,6 +55,11 @@ DROPPED_WORDS = set(
     "disqus footer form gdpr header login menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted "
     "related reader-comments respond reviews share sharing sidebar signup skip-link social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+#: Words that may stand beside these in a name.
+LAYOUT_WORDS = set(
+    "area articles article bar block body bottom box button buttons column container content count desktop entry fixed frame global group holder icons inner item items js large left link links list "
+    "main message mobile module more outer page panel policy post posts primary reader region reply right row secondary section site slot small sticky stories strip text thread title top ui unit user view wrap wrapper zone".split()
+)
 #: Open elements that a new one of these ends.
 ENDS = {"p": {"p"}, "li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "tr": {"p", "tr", "td", "th"}, "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "nav", "aside", "form", "footer", "header"}
@@ -68,6 +75,14 @@ class Line:
     main: bool
 
 
+def _names(token: str, words: set[str]) -> bool:
+    """Whether the token is one of the words, or is made of some and of words of layout and numbers."""
+    if token in words:
+        return True
+    parts = {p for p in re.split(r"[-_]+", token) if p and not p.isdigit()}
+    return bool(parts & words) and parts <= words | DROPPED_WORDS | LAYOUT_WORDS
+
+
 def _marks(name: str, attrs: str, in_content: bool) -> bool:
     """Whether the element's name or attributes say that it is no main text."""
     if name in DROPPED or (name == "header" and not in_content):
@@ -83,7 +98,7 @@ def _marks(name: str, attrs: str, in_content: bool) -> bool:
         if key in ("class", "id") and name not in ("html", "body", "article", "main"):
             # An article's own heading is part of it, and has-sidebar or no-header say what is beside.
             words = DROPPED_WORDS - {"header"} if in_content else DROPPED_WORDS
-            if any(w in words or (parts := set(re.split(r"[-_]+", w))) & words and not parts & {"has", "no", "with", "without"} for w in value.split()):
+            if any(_names(w, words) for w in value.split()):
                 return True
         if key in ("class", "id") and name == "article" and any(set(re.split(r"[-_]+", w)) & {"comment", "comments", "ad", "advert", "promo", "related"} for w in value.split()):
             return True
@@ -158,12 +173,17 @@ def page_lines(html: str | None) -> list[Line]:
     return out
 
 
-def candidates(lines: Sequence[Line]) -> tuple[list[int], bool]:
-    """The lines that the markup lets stay, and whether an article or main element decides so."""
-    for inside in ("article", "main"):
-        if found := [i for i, x in enumerate(lines) if getattr(x, inside) and not x.dropped]:
-            return found, True
-    return [i for i, x in enumerate(lines) if not x.dropped], False
+def candidates(lines: Sequence[Line]) -> tuple[list[int], set[int]]:
+    """The lines that the markup lets stay, and those of them that the differencing may delete."""
+    article = [i for i, x in enumerate(lines) if x.article and not x.dropped]
+    main = [i for i, x in enumerate(lines) if x.main and not x.dropped]
+    if article:
+        beside = set(main) - set(article)
+        return sorted({*article, *beside}), beside
+    if main:
+        return main, set()
+    stay = [i for i, x in enumerate(lines) if not x.dropped]
+    return stay, set(stay)
 
 
 def shared_lines(a: Sequence[int], b: Sequence[int]) -> list[int]:
@@ -220,14 +240,14 @@ def _middle(a: Sequence[int], b: Sequence[int]) -> list[int]:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page: a hash for each line, times two, plus one if the differencing may delete it."""
+    """Of each page: a hash for each line, times four, plus one if the differencing may delete it, plus two if it may delete all."""
     for batch in batches:
         rows = []
         for text in batch.column(2):
             lines = page_lines(text.as_py())
-            stay, sure = candidates(lines)
-            open_ = set() if sure else set(stay)
-            rows.append([zlib.crc32(x.text.encode("utf-8", "surrogatepass")) * 2 + (i in open_) for i, x in enumerate(lines)])
+            stay, free = candidates(lines)
+            every = 2 * (len(free) == len(stay))
+            rows.append([zlib.crc32(x.text.encode("utf-8", "surrogatepass")) * 4 + every + (i in free) for i, x in enumerate(lines)])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["page_id", "h", "lines"])
 
 
@@ -236,8 +256,8 @@ def _deleted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for own, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             free = {i for i, x in enumerate(own) if x & 1}
-            lost = free & set(shared_lines([x >> 1 for x in own], [x >> 1 for x in other])) if free else set()
-            out.append(sorted(lost) if lost != free else [])
+            lost = free & set(shared_lines([x >> 2 for x in own], [x >> 2 for x in other])) if free else set()
+            out.append([] if lost == free and own[0] & 2 else sorted(lost))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["page_id", "h", "deleted"])
 
 

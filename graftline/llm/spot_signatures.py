@@ -1,9 +1,8 @@
 """Document fingerprints by spot signatures, in DataFrame operations only.
 
 A common word (an anchor) and the next CHAIN content words behind it make a signature; a
-document's fingerprint is its set of signatures as hashes, in order. Texts with fewer than FEW of them
-(FEW is infinite: all texts) also take chains of CHAIN words from every place, or their whole words if there
-are fewer, so that short texts and texts in other languages can be told apart and found again too.
+document's fingerprint is its set of signatures as hashes, in order. A text also takes chains of CHAIN words from every place,
+or its whole words if there are fewer, so that short texts and texts in other languages can be told apart and found again too.
 No signature depends on words far from it, so an edit changes only the signatures near it.
 Likeness is the Jaccard index of two fingerprints.
 
@@ -14,7 +13,8 @@ and lengths prune the pairs before exact Jaccard.
 
 Defined results: null text counts as empty; texts without a word have the empty fingerprint,
 which is as likely as 1 to another empty one and 0 to any other; rows that repeat identifier and
-text count once in the order of documents and give equal results; an empty table gives no rows.
+text count once in the order of documents and give equal results; very long texts are taken whole; other columns are not read and may have
+any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from .common import neighbours, saved, table
 
 CHAIN = 2
-# Infinite: with a finite one, an edit that gains or loses an anchor could replace nearly the whole fingerprint.
-FEW = float("inf")
 HASH_BITS = 48
 SIMILAR = 0.8
 # The most frequent function words of English, German, French and Spanish.
@@ -66,7 +64,7 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     def chosen(s: Column) -> Column:
         w = s["w"]
         grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - chain + 1)), lambda i: short_hash(F.slice(w, i, chain)))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(s["found"]) >= FEW, s["found"]).otherwise(F.concat(s["found"], grams))
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.concat(s["found"], grams))
 
     # Arrays of one element hand each step's result on, so that nothing is computed for every anchor anew.
     steps = F.array(words(text))
@@ -88,28 +86,30 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """(members: id, class_id) and (pairs: a, b, likeness) of classes, with a < b and likeness of at least `similar`.
+    """(members: id, class_id) and (pairs: a, b, likeness) of classes, with a <= b and likeness of at least `similar`.
 
-    A class is named by its smallest identifier.
+    A class, texts with one fingerprint, is named by its smallest identifier; two classes have one name where an identifier has two texts.
     """
     signed = docs.select(F.col(id_col).alias("id"), signatures(F.col(text_col)).alias("signs")).withColumn("key", F.sha2(fingerprint(F.col("signs")), 256))
     signed = saved(signed)
-    classes = signed.groupBy("key").agg(F.min("id").alias("class_id"))
+    classes = saved(signed.groupBy("key").agg(F.min("id").alias("class_id")))
     members = signed.select("id", "key").join(classes, "key").select("id", "class_id")
-    sets = saved(signed.join(classes, (signed["id"] == classes["class_id"]) & (signed["key"] == classes["key"])).select("class_id", "signs", F.size("signs").alias("n")).where("n > 0").dropDuplicates(["class_id"]))
-    one = sets.select("class_id", "n", F.explode("signs").alias("s"))
+    sets = saved(signed.dropDuplicates(["key"]).select("key", "signs", F.size("signs").alias("n")).where("n > 0"))
+    one = sets.select("key", "n", F.explode("signs").alias("s"))
     often = one.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    ordered = one.join(often, "s").groupBy("class_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("by_df"))
+    ordered = one.join(often, "s").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("by_df"))
     head = F.slice("by_df", 1, (F.col("n") - F.ceil(F.col("n") * similar - 1e-9) + 1).cast("int"))
     part = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / similar)) + 1e-9)
-    heads = ordered.select("class_id", "n", part.alias("part"), F.explode(head).alias("h")).select("class_id", "n", "part", F.col("h.s").alias("s"))
-    left = heads.select(F.col("class_id").alias("a"), F.col("n").alias("na"), "s", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
-    right = heads.select(F.col("class_id").alias("b"), F.col("n").alias("nb"), "s", "part")
+    heads = ordered.select("key", "n", part.alias("part"), F.explode(head).alias("h")).select("key", "n", "part", F.col("h.s").alias("s"))
+    left = heads.select(F.col("key").alias("a"), F.col("n").alias("na"), "s", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
+    right = heads.select(F.col("key").alias("b"), F.col("n").alias("nb"), "s", "part")
     fits = (F.col("nb") * similar <= F.col("na") + 1e-9) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
     found = left.join(right, ["s", "part"]).where(fits).select("a", "b").distinct()
-    found = found.join(sets.select(F.col("class_id").alias("a"), F.col("signs").alias("sa")), "a").join(sets.select(F.col("class_id").alias("b"), F.col("signs").alias("sb")), "b")
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likeness(F.col("sa"), F.col("sb")).alias("likeness")).where(F.col("likeness") >= similar - 1e-12)
-    return members, pairs
+    found = found.join(sets.select(F.col("key").alias("a"), F.col("signs").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("signs").alias("sb")), "b")
+    near = found.select("a", "b", likeness(F.col("sa"), F.col("sb")).alias("likeness")).where(F.col("likeness") >= similar - 1e-12)
+    named = [classes.select(F.col("key").alias(c), F.col("class_id").alias(f"{c}_id")) for c in "ab"]
+    near = near.join(named[0], "a").join(named[1], "b")
+    return members, near.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), "likeness")
 
 
 def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

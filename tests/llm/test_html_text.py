@@ -27,6 +27,8 @@ CASES = [
     ("<article>open <p>never closed <script>var x", "open never closed"),
     ("<div class='has-sidebar'><article><div class='entry-header'><h1>T</h1></div><p>x</p><div class='share-buttons'>s</div></article><div id='right_sidebar'>y</div></div>", "T x"),
     ("<div id=header>h</div><div id=menu>m</div><div id=content><p>body</p></div><div class='notice warning'>n</div><section id=comments><article id=comment-1>c</article></section>", "body"),
+    ("<div id='ad-hoc-query'>a</div><article><p class='share-price'>b</p><p class='form-factor'>c</p><p class='notice-period'>d</p><p class='cookie-policy-notice'>e</p><p class='ad-slot-3'>f</p></article>", "b c d"),
+    ("<main><article>one</article><p>outside</p><nav>no</nav></main><p>far</p>", "one outside"),
     ("", ""),
     (None, ""),
     ("no markup", "no markup"),
@@ -70,6 +72,51 @@ def test_differencing_on_pages_without_an_article(spark):
     assert ht.extract(pages.limit(0)).count() == 0
 
 
+def test_lines_beside_an_article_go_only_if_the_next_page_has_them(spark):
+    page = lambda i, more: f"<main><p>Site news</p><article>story {i}</article>{more}<p>Contact us</p></main>"
+    rows = [(1, "http://a.org/n/1", page(1, "<p>an own note</p>")), (2, "http://a.org/n/2", page(2, "")), (3, "http://b.org/x", page(3, ""))]
+    got = {r.page_id: r.text for r in ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "story 1 an own note", 2: "story 2", 3: "Site news story 3 Contact us"}
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_extraction_equals_brute_force(spark):
+    rng = random.Random(9)
+    words = "alpha beta gamma delta epsilon zeta".split()
+    rows = []
+    for i in range(60):
+        site = i % 3
+        lines = [f"site {site}", "menu", *(f"{rng.choice(words)} {rng.choice(words)}" for _ in range(rng.randint(0, 6))), f"foot {site}"]
+        body = "".join(f"<p>{x}</p>" for x in lines)
+        if i % 4 == 0:
+            body = f"<main>{body}<article>own {i}</article></main>"
+        rows.append((i, f"http://s{site}.org/{rng.choice(words)}/{i:02d}", body))
+    order = sorted(rows, key=lambda r: (r[1].split("/")[2], "/" + r[1].split("/", 3)[3], str(r[0])))
+    want = {}
+    for k, (i, url, body) in enumerate(order):
+        host, path = url.split("/")[2], "/" + url.split("/", 3)[3]
+        near = [(distance(path, "/" + o[1].split("/", 3)[3]), turn, o) for turn, o in ((0, order[k + 1] if k + 1 < len(order) else None), (1, order[k - 1] if k else None)) if o and o[1].split("/")[2] == host]
+        own = ht.page_lines(body)
+        stay, free = ht.candidates(own)
+        gone = set()
+        if near and free:
+            other = [x.text for x in ht.page_lines(min(near)[2][2])]
+            gone = free & set(ht.shared_lines([x.text for x in own], other))
+            gone = set() if gone == set(stay) else gone
+        want[i] = " ".join(own[j].text for j in stay if j not in gone)
+    got = {r.page_id: r.text for r in ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want and any("site" not in t for t in want.values())
+
+
 def test_articles_of_the_test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}

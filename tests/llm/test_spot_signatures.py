@@ -20,7 +20,7 @@ def brute(text):
             after = [c for j, c in content if j > i][: spot.CHAIN]
             if len(after) == spot.CHAIN:
                 chains.add((w, *after))
-    if sum(w in spot.ANCHORS and sum(j > i for j, _ in content) >= spot.CHAIN for i, w in enumerate(words)) < spot.FEW and words:
+    if words:
         chains |= {tuple(words[i : i + spot.CHAIN]) for i in range(max(1, len(words) - spot.CHAIN + 1))}
     return chains
 
@@ -88,3 +88,11 @@ def test_likeness_across_any_number_of_signatures(spark):
     both = spark.createDataFrame(rows, "n int, a string, b string")
     got = {r.n: r.x for r in both.select("n", spot.likeness(spot.signatures(F.col("a")), spot.signatures(F.col("b"))).alias("x")).collect()}
     assert min(got.values()) > 0.85 and max(got.values()) - min(got.values()) < 0.05
+
+
+def test_an_identifier_with_two_texts_keeps_both_links(spark):
+    one, two = (" ".join(f"{c}{i} the {c}x{i}" for i in range(40)) for c in "pq")
+    rows = [(8, one, "k"), (8, two, "k"), (20, two + " z", "k"), (30, one + " z", "k")]
+    members, pairs = spot.near_pairs(spark.createDataFrame(rows, "doc_id long, text string, key string"))
+    assert sorted((r.a, r.b) for r in pairs.collect()) == [(8, 20), (8, 30)]
+    assert sorted(map(tuple, members.collect())) == [(8, 8), (8, 8), (20, 20), (30, 30)]
