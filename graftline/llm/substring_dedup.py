@@ -41,8 +41,10 @@ from .common import hinted, saved, table, tidied, written
 from .word_hashes import RunHashes, Words, chunks
 
 WINDOW, EDGE = 20, 8
-#: Longs in lists of coordinates that a broadcast may hold: 64 MB.
-BROADCAST_LONGS = 8_000_000
+#: Longs in lists of coordinates, and rows, that a broadcast may hold: 3 MB, so that tables of any size but tiny ones have one plan.
+BROADCAST_LONGS, BROADCAST_ROWS = 400_000, 20_000
+#: Added to hashes of windows, which are never compared with those of paths.
+_SINGLE = np.uint64(0x5851F42D4C957F2D)
 #: Spans of one source that one row asks for.
 ASKED = 4096
 #: Times that all is done again with other hashes after a collision.
@@ -75,7 +77,7 @@ class Paths:
         self.count = np.bincount(self.text, minlength=len(texts))
 
     def packed(self) -> np.ndarray:
-        return (self.place << 8) | self.size
+        return (self.place << 9) | (self.size << 1)
 
 
 def _short(h: np.ndarray) -> np.ndarray:
@@ -107,8 +109,9 @@ def _path_rows(batches: Iterator[pa.RecordBatch], window: int, edge: int, seed:
         for first, texts in chunks(batch.column(1)):
             p = Paths(texts, window, edge, seed)
             keep, n = _earliest(p.text, p.path)
+            at = p.packed()[keep] | (n > 1)
             keys = batch.column(0).take(pa.array(first + p.text[keep]))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(_short(p.anchor[keep])), pa.array(p.path[keep].view(np.int64)), pa.array(p.packed()[keep]), pa.array(n, pa.int32())], names=["key", "anchor", "path", "at", "n"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(_short(p.anchor[keep])), pa.array(p.path[keep].view(np.int64)), pa.array(at)], names=["key", "anchor", "path", "at"])
 
 
 def _listed(column: pa.Array, i: int) -> np.ndarray:
@@ -118,16 +121,16 @@ def _listed(column: pa.Array, i: int) -> np.ndarray:
 
 def _wanted(p: Paths, column: pa.Array, first: int) -> np.ndarray:
     """Which paths are on their text's list; a path is known by its first word."""
-    lists = [_listed(column, first + i) >> 8 for i in range(len(p.count))]
+    lists = [_listed(column, first + i) >> 9 for i in range(len(p.count))]
     offset = p.words.first[:-1]
     at = np.concatenate([np.zeros(0, np.int64), *(x + o for x, o in zip(lists, offset.tolist(), strict=True))])
     return np.isin(p.start, at)
 
 
 def _later_rows(batches: Iterator[pa.RecordBatch], window: int, edge: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Of (key, text, original, branching): the paths on neither list, and the windows of the branching ones (single).
+    """Of (key, text, original, branching): the paths on neither list, and the windows of the branching ones.
 
-    Of equal windows of a text the first one leads.
+    `at` holds place, number of windows, and two bits: for windows, and for the first of equal ones in a text.
     """
     for batch in batches:
         for first, texts in chunks(batch.column(1)):
@@ -137,13 +140,13 @@ def _later_rows(batches: Iterator[pa.RecordBatch], window: int, edge: int, seed:
             size = p.size[branching]
             start = np.repeat(p.start[branching] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             text = np.r_[p.text[later], np.repeat(p.text[branching], size)]
-            anchor = np.r_[p.anchor[later], np.repeat(p.anchor[branching], size)]
-            words = np.r_[p.path[later], p.runs.at(start, window)]
+            words = np.r_[p.path[later], p.runs.at(start, window) + _SINGLE]
             at = np.r_[p.place[later], start - p.words.first[text[len(later) :]]]
-            lead = np.zeros(len(text), bool)
-            lead[len(later) + _earliest(text[len(later) :], words[len(later) :])[0]] = True
-            columns = [batch.column(0).take(pa.array(first + text)), pa.array(_short(anchor)), pa.array(words.view(np.int64)), pa.array(at), pa.array(np.r_[p.size[later], np.ones(len(start), np.int64)]), pa.array(np.arange(len(text)) >= len(later)), pa.array(lead)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "anchor", "words", "at", "size", "single", "lead"])
+            lead = _earliest(text[len(later) :], words[len(later) :])[0]
+            packed = (at << 10) | np.r_[p.size[later], np.ones(len(start), np.int64)] << 2
+            packed[len(later) :] |= 2
+            packed[len(later) + lead] |= 1
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + text)), pa.array(words.view(np.int64)), pa.array(packed)], names=["key", "words", "at"])
 
 
 def _kept(w: Words, i: int, spans: list[tuple[int, int]]) -> tuple[int, int, str, list[list[int]]]:
@@ -215,23 +218,25 @@ def compacted(later: DataFrame, window: int) -> DataFrame:
 def repeated_spans(keyed: DataFrame, counts: DataFrame, window: int, edge: int, seed: int) -> DataFrame:
     """Long spans of keyed (key, text) whose edges are elsewhere earlier, by their hashes; counts has the paths of each text."""
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    paths = keyed.mapInArrow(lambda it: tidied(_path_rows(it, window, edge, seed)), "key long, anchor int, path long, at long, n int")
-    firsts = written(paths.groupBy("anchor", "path").agg(F.min("key").alias("key"), F.min_by("at", "key").alias("at"), F.sum("n").alias("copies")))
+    bit = lambda n: F.col("at").bitwiseAND(F.lit(n)) > 0
+    paths = keyed.mapInArrow(lambda it: tidied(_path_rows(it, window, edge, seed)), "key long, anchor int, path long, at long")
+    repeats = (F.count(F.lit(1)) > 1) | F.max(bit(1))
+    firsts = written(paths.groupBy("anchor", "path").agg(F.min("key").alias("key"), F.min_by("at", "key").alias("at"), repeats.alias("repeats")))
     branch = saved(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("anchor").alias("_anchor")))
-    marked = firsts.join(hinted(branch), F.col("anchor") == F.col("_anchor"), "left")
+    marked = firsts.select("anchor", "key", "at").join(hinted(branch, BROADCAST_ROWS), F.col("anchor") == F.col("_anchor"), "left")
     branching = F.col("_anchor").isNotNull()
     lists = written(marked.groupBy("key").agg(F.collect_list(F.when(~branching, F.col("at"))).alias("original"), F.collect_list(F.when(branching, F.col("at"))).alias("branching")))
 
     info = counts.where("n_paths > 0").join(lists, "key", "left").where((size("branching") > 0) | (size("original") < F.col("n_paths")))
     info = written(info.select(F.col("key").alias("_key"), "original", "branching"))
     texts = keyed.join(_by_size(info, size("original") + size("branching") + 1), F.col("key") == F.col("_key")).select("key", "text", "original", "branching")
-    found = written(texts.mapInArrow(lambda it: tidied(_later_rows(it, window, edge, seed)), "key long, anchor int, words long, at long, size long, single boolean, lead boolean"))
+    found = written(texts.mapInArrow(lambda it: tidied(_later_rows(it, window, edge, seed)), "key long, words long, at long"))
 
-    windows = found.where("single").groupBy("anchor", "words").agg(F.min("key").alias("source"), F.min_by("at", F.when(F.col("lead"), F.col("key"))).alias("source_at"), F.count(F.lit(1)).alias("m"))
-    sources = firsts.where("copies > 1").select("anchor", F.col("path").alias("words"), F.lit(False).alias("single"), F.col("key").alias("source"), F.shiftright("at", 8).alias("source_at"))
-    sources = saved(sources.unionByName(windows.where("m > 1").select("anchor", "words", F.lit(True).alias("single"), "source", "source_at")))
-    later = found.join(hinted(sources), ["anchor", "words", "single"]).where("key <> source OR at <> source_at")
-    return compacted(later.select("key", "at", "size", "source", "source_at"), window)
+    windows = found.where(bit(2)).groupBy("words").agg(F.min("key").alias("source"), F.min_by("at", F.when(bit(1), F.col("key"))).alias("at"), F.count(F.lit(1)).alias("m"))
+    sources = firsts.where("repeats").select(F.col("path").alias("words"), F.col("key").alias("source"), F.shiftright("at", 9).alias("source_at"))
+    sources = saved(sources.unionByName(windows.where("m > 1").select("words", "source", F.shiftright("at", 10).alias("source_at"))))
+    later = found.select("key", "words", F.shiftright("at", 10).alias("at"), F.shiftright("at", 2).bitwiseAND(F.lit(255)).alias("size")).join(hinted(sources, BROADCAST_ROWS), "words")
+    return compacted(later.where("key <> source OR at <> source_at").select("key", "at", "size", "source", "source_at"), window)
 
 
 def _verified(keyed: DataFrame, spans: DataFrame) -> tuple[DataFrame, bool]:
@@ -240,7 +245,7 @@ def _verified(keyed: DataFrame, spans: DataFrame) -> tuple[DataFrame, bool]:
     asked = saved(spans.select(F.col("source").alias("key"), F.col("source_at").alias("first"), "n").distinct())
     many = asked.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > ASKED)
     part = F.pmod(F.xxhash64("first", "n"), F.coalesce(F.ceil(F.col("m") / ASKED), F.lit(1)))
-    dealt = asked.join(hinted(saved(many)), F.col("key") == F.col("_key"), "left").groupBy("key", part.alias("part"))
+    dealt = asked.join(hinted(saved(many), BROADCAST_ROWS), F.col("key") == F.col("_key"), "left").groupBy("key", part.alias("part"))
     theirs = dealt.agg(F.collect_list("first").alias("first"), F.collect_list("n").alias("n")).withColumn("own", F.lit(False)).drop("part")
     none = F.array().cast("array<bigint>")
     lists = written(own.unionByName(theirs.withColumn("source", none).withColumn("source_at", none)).withColumnRenamed("key", "_key"))
@@ -273,7 +278,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             break
     else:
         raise RuntimeError("spans differ from their sources under every hash")
-    same = summary.join(hinted(changed.select(F.col("key").alias("_key"))), F.col("key") == F.col("_key"), "left_anti")
+    same = summary.join(hinted(changed.select(F.col("key").alias("_key")), BROADCAST_ROWS), F.col("key") == F.col("_key"), "left_anti")
     same = same.select("key", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole").alias("kept_sha256"), F.array().cast("array<array<bigint>>").alias("spans"))
     out = changed.unionByName(same)
     if names is None:
