@@ -164,10 +164,10 @@ def connected(nodes: DataFrame, graph: DataFrame, picked: DataFrame, forbidden:
     return old_nodes.unionByName(new_nodes).distinct(), arcs
 
 
-def merged_copies(nodes: DataFrame, graph: DataFrame, base: F.Column, max_rounds: int = 20) -> DataFrame:
+def merged_copies(nodes: DataFrame, graph: DataFrame, base: F.Column) -> DataFrame:
     """(node, merged): copies of one base node with equal neighbours become one, again and again."""
     names = saved(nodes.select("node", F.col("node").alias("merged"), base.alias("base")))
-    for _ in range(max_rounds):
+    while True:
         to = names.select(F.col("node").alias("_n"), "merged")
         g = graph.join(to.withColumnRenamed("_n", "_u").withColumnRenamed("merged", "mu"), P.bare(F.col("u")) == F.col("_u")).join(to.withColumnRenamed("_n", "_v").withColumnRenamed("merged", "mv"), P.bare(F.col("v")) == F.col("_v"))
         near = g.groupBy("mu").agg(F.array_sort(F.collect_set(F.concat(F.substring("u", 1, 1), F.substring("v", 1, 1), "mv"))).alias("near"))

@@ -199,12 +199,12 @@ def superbubbles(nodes: DataFrame, graph: DataFrame, max_size: int | None = None
     return per_component(nodes, graph, work, "s string, t string")
 
 
-def popped(nodes: DataFrame, graph: DataFrame, mean: float, max_node: int = 50_000, share: float = 0.5, max_nodes: int = 20, tip_share: float = 0.5, tip_length: int = 50_000, rounds: int = 5) -> DataFrame:
+def popped(nodes: DataFrame, graph: DataFrame, mean: float, max_node: int = 50_000, share: float = 0.5, max_nodes: int = 20, tip_share: float = 0.5, tip_length: int = 50_000) -> DataFrame:
     """(kind, a, b): nodes (b null) and arcs that bubble and tip popping removes, in rounds until nothing changes."""
 
     def work(g: Component) -> list[tuple]:
         out: list[tuple] = []
-        for _ in range(rounds):
+        while True:
             before = len(out)
             for s in sorted(g.out):
                 if t := g.superbubble(s):

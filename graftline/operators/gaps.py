@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .iterate import numbered
 from ..functions import paths as P
 from ..functions import sequences as S
 from .graph import tips as graph_tips
@@ -36,10 +37,10 @@ def gap_nodes(gaps: DataFrame, nodes: DataFrame, prefix: str) -> DataFrame:
     Positive gaps are runs of N. Where the ends touch, the new node has the last base before and the first one
     behind; where they overlap, it spells the overlap and one base on either side, as long as the nodes allow.
     """
-    number = F.row_number().over(Window.orderBy("a", "b"))
-    name = F.concat_ws("-", F.lit(prefix), number.cast("string"), F.lit("len"), F.col("gap").cast("string"), F.lit("cov"), F.col("support").cast("string"))
+    gaps = numbered(gaps, ["a", "b"], "_number")
+    name = F.concat_ws("-", F.lit(prefix), (F.col("_number") + 1).cast("string"), F.lit("len"), F.col("gap").cast("string"), F.lit("cov"), F.col("support").cast("string"))
     seq = nodes.select(F.col("node").alias("_n"), F.col("seq").alias("_s"))
-    both = gaps.withColumn("node", name)
+    both = gaps.withColumn("node", name).drop("_number")
     for c, s in (("a", "sa"), ("b", "sb")):
         both = both.join(seq, P.bare(F.col(c)) == F.col("_n")).withColumn(s, F.col("_s")).drop("_n", "_s")
     before = F.when(F.col("a").startswith("<"), S.reverse_complement(F.col("sa"))).otherwise(F.col("sa"))

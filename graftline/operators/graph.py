@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as P
 from ..functions import sequences as S
-from .iterate import components, hinted, node_components, saved
+from .iterate import components, hinted, node_components, numbered, saved
 
 
 def oriented(name: Column, forward: Column) -> Column:
@@ -91,7 +91,8 @@ def component_lengths(nodes: DataFrame, membership: DataFrame) -> DataFrame:
 
 def component_ranks(nodes: DataFrame, membership: DataFrame) -> DataFrame:
     """(component, rank): 1 for the longest, ties by name."""
-    return component_lengths(nodes, membership).withColumn("rank", F.row_number().over(Window.orderBy(F.col("length").desc(), "component")))
+    ranks = numbered(component_lengths(nodes, membership), [-F.col("length"), "component"], "rank")
+    return ranks.withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def acyclic_layers(graph: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def spell(steps: DataFrame, nodes: DataFrame, key: str = "path") -> DataFrame:
     return grouped.select(key, F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("seq"))
 
 
-def lineage_leaves(mapping: DataFrame, roots: DataFrame, max_rounds: int = 64) -> DataFrame:
+def lineage_leaves(mapping: DataFrame, roots: DataFrame) -> DataFrame:
     """(name, pos, leaf): names expanded by mapping (name, path) down to nodes that have no mapping.
 
     Places are kept as a path of positions, so the order of the leaves is the order of the text.
@@ -210,7 +211,7 @@ def lineage_leaves(mapping: DataFrame, roots: DataFrame, max_rounds: int = 64) -
     children = saved(mapping.select(F.col("name").alias("_name"), "path"))
     state = saved(roots.select("name", F.array().cast("array<int>").alias("at"), F.concat(F.lit(">"), "name").alias("node"), F.lit(False).alias("leaf")))
     done = None
-    for _ in range(max_rounds):
+    for _ in range(children.select("_name").distinct().count() + 1):  # no nesting without a cycle is deeper
         joined = state.join(children, P.bare(F.col("node")) == F.col("_name"), "left")
         leaves = saved(joined.where("path IS NULL").select("name", "at", "node"))
         done = leaves if done is None else saved(done.unionByName(leaves))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a few numbers that a join side may hold to be broadcast: 16 MB or so.
@@ -51,6 +52,21 @@ def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, most) else df.hint("merge")
 
 
+def numbered(rows: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """rows with their number in order, from 0. Rows are dealt out by ranges; only the sizes of the ranges, one row each, meet.
+
+    The order has to be total for the numbers to be repeatable.
+    """
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)])
+    ranged = saved(rows.withColumn("_order", key).repartitionByRange(parts, "_order").withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy(F.col("_part").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_at", F.coalesce(F.sum("_n").over(Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("_order")) - 1
+    joined = ranged.withColumn("_inside", inside).join(F.broadcast(before), F.col("_part") == F.col("_at"))
+    return joined.withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).drop("_order", "_part", "_inside", "_at", "_before")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of links (a, b): the smallest node that it is connected with.
 

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from . import intervals as I
 from .coverage import weighted_median
-from .iterate import components, hinted
+from .iterate import components, hinted, numbered
 from .relations import majority_side
 
 CLEAR_BEST = 1.5
 REQUIRED_SHARE = 1 / 3
 MIN_LINKS = 10
 CLEAR_MAJORITY = 1.5
+#: Lengths that decide which links between paths are taken, and which homology is a duplication.
+LONG_HAPLOID, SHORT_TELOMERIC, NEAR_PATH_END, NEAR_DUPLICATE = 6_000_000, 5_000_000, 5_000_000, 5_000_000
 
 
 def homology_pairs(hits: DataFrame) -> DataFrame:
@@ -54,6 +56,47 @@ def match_edges(pairs: DataFrame, neighbours: DataFrame, min_big: int, weight: i
     return out.select("a", "b", "covered", F.when(good, F.lit(weight)).otherwise(0).alias("weight"))
 
 
+def allowed_links(links: DataFrame, paths: DataFrame, distances: DataFrame) -> DataFrame:
+    """Links (a, b) between oriented paths (name+ or name-) without those that mislead scaffolding.
+
+    paths: path, length, haploid, start_telomere, end_telomere. Long haploid paths draw links that a homologous one would share,
+    so with paths that aren't haploid they may be linked only within NEAR_PATH_END (distances: a, b, distance; absent is far). No link
+    goes into the telomere of a short path: the start of the path as it is oriented.
+    """
+    bare = lambda c: F.regexp_replace(c, "[+-]$", "")
+    side = lambda c: paths.select(F.col("path").alias(f"_{c}"), F.col("length").alias(f"_l{c}"), F.col("haploid").alias(f"_h{c}"), F.col("start_telomere").alias(f"_s{c}"), F.col("end_telomere").alias(f"_e{c}"))
+    rows = links.join(side("a"), bare("a") == F.col("_a")).join(side("b"), bare("b") == F.col("_b"))
+    rows = rows.join(distances.select("a", "b", F.col("distance").alias("_d")), ["a", "b"], "left")
+    alone = lambda x, y: F.col(f"_h{x}") & (F.col(f"_l{x}") > LONG_HAPLOID) & ~F.col(f"_h{y}")
+    distant = F.coalesce(F.col("_d") > NEAR_PATH_END, F.lit(True))
+    telomere = F.when(F.col("b").endswith("+"), F.col("_sb")).otherwise(F.col("_eb"))
+    banned = ((alone("a", "b") | alone("b", "a")) & distant) | ((F.col("_lb") <= SHORT_TELOMERIC) & telomere)
+    return rows.where(~banned).select(*links.columns)
+
+
+def without_duplications(edges: DataFrame, membership: DataFrame, nodes: DataFrame, distances: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, components: component, diploid) after homology that looks like a duplication is cleared.
+
+    Homologous nodes (edges a, b, covered, weight; not both longer than NEAR_DUPLICATE) of one component that the graph links within NEAR_DUPLICATE
+    in some orientation (distances: start, end, distance between oriented nodes) are copies on one haplotype. In diploid components such
+    edges go, if they are less than a third of all homology; components that aren't diploid keep theirs, but have no diploid part if
+    all of it is of that kind.
+    """
+    state = diploid_components(membership, nodes, edges).withColumnRenamed("diploid", "_diploid")
+    bare = lambda c: F.substring(c, 2, 1_000_000)
+    close = distances.where(F.col("distance") < NEAR_DUPLICATE).select(F.least(bare("start"), bare("end")).alias("a"), F.greatest(bare("start"), bare("end")).alias("b")).distinct().withColumn("_close", F.lit(True))
+    size = lambda c: nodes.select(F.col("node").alias(c), F.col("length").alias(f"_l{c}"))
+    rows = edges.join(membership.select(F.col("node").alias("a"), "component"), "a").join(membership.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b")
+    rows = rows.where("component = _c AND weight <> 0").join(size("a"), "a").join(size("b"), "b").join(close, ["a", "b"], "left")
+    copy = F.coalesce("_close", F.lit(False)) & (F.least("_la", "_lb") <= NEAR_DUPLICATE)
+    rows = rows.select("a", "b", "component", "covered", copy.alias("_copy"))
+    sums = rows.groupBy("component").agg(F.sum("covered").alias("_all"), F.sum(F.when(F.col("_copy"), F.col("covered")).otherwise(0)).alias("_copies"))
+    judged = state.join(sums, "component", "left")
+    cleared = rows.where("_copy").join(judged.where("_diploid AND 3 * _copies < _all").select("component"), "component", "left_semi").select("a", "b")
+    nothing = ~F.col("_diploid") & (F.coalesce("_copies", F.lit(0)) == F.coalesce("_all", F.lit(0)))
+    return edges.join(cleared, ["a", "b"], "left_anti"), judged.select("component", (~nothing).alias("diploid"))
+
+
 def diploid_components(membership: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(component, diploid): whether homologous nodes make more than half of a component's length."""
     inside = edges.where("weight <> 0").select(F.col("a").alias("node")).union(edges.where("weight <> 0").select("b")).distinct().withColumn("_h", F.lit(1))
@@ -165,7 +208,7 @@ def assigned_short(contacts: DataFrame, phased_nodes: DataFrame, short: DataFram
 
 def haploid_sides(membership: DataFrame, haploid: DataFrame) -> DataFrame:
     """(node, side): haploid components by turns on one side and the other, in order of their names."""
-    order = haploid.select("component").distinct().withColumn("side", (F.row_number().over(Window.orderBy("component")) - 1) % 2)
+    order = numbered(haploid.select("component").distinct(), ["component"], "side").withColumn("side", (F.col("side") % 2).cast("int"))
     return membership.join(order, "component").select("node", "side")
 
 

@@ -267,15 +267,26 @@ def prefix_consistent(paths: DataFrame, key: str = "node", path: str = "path") -
     return joined.groupBy(key).agg(F.min((F.slice(F.col("_longest"), F.lit(1), F.size(path)) == F.col(path)).cast("int")).alias("_ok")).select(key, (F.col("_ok") == 1).alias("consistent"))
 
 
-def pair_prefilter(pairs: DataFrame) -> DataFrame:
-    """Read pairs that are worth clustering: pairs (ref1, ref2, pos1, pos2, len1, len2, aligned1, aligned2, alternatives1, alternatives2).
-
-    Dropped: unmapped mates, mates on one reference, mates found among the other's alternatives, poorly
-    aligned ones, and those that lie in the middle of a long node on either side.
+def pair_prefilter(pairs: DataFrame, short: int = 10_000, ends: int = 10_000_000) -> DataFrame:
+    """Read pairs that are worth clustering, of pairs with ref, pos, len, mapq, aligned and places, each for mate 1 and 2.
+
+    `len` is the reference's length, `aligned` the aligned share of the read, `places` an array of (ref, pos, len) of its other
+    placements. A pair needs mates that are mapped, to different references, each with half of its bases aligned, with a mapping
+    quality or other places, and none of these on the mate's reference. If both mates have a mapping quality, that is enough. If not, no place of
+    one may share a reference with one of the other, and each mate must have a place on a reference longer than `short`
+    and a place that is less than `ends` away from both ends of its reference.
     """
     mapped = F.col("ref1").isNotNull() & F.col("ref2").isNotNull() & (F.col("ref1") != F.col("ref2"))
-    elsewhere = F.array_contains("alternatives1", F.col("ref2")) | F.array_contains("alternatives2", F.col("ref1"))
-    return pairs.where(mapped & ~F.coalesce(elsewhere, F.lit(False)) & (F.col("aligned1") >= 0.5) & (F.col("aligned2") >= 0.5))
+    more = {i: F.coalesce(F.col(f"places{i}"), F.array().cast(pairs.schema[f"places{i}"].dataType)) for i in (1, 2)}
+    every = {i: F.concat(F.array(F.struct(F.col(f"ref{i}").alias("ref"), F.col(f"pos{i}").alias("pos"), F.col(f"len{i}").alias("len")).cast(pairs.schema[f"places{i}"].dataType.elementType)), more[i]) for i in (1, 2)}
+    able = F.lit(True)
+    apart = F.lit(True)
+    for i, other in ((1, "ref2"), (2, "ref1")):
+        able &= (F.col(f"aligned{i}") >= 0.5) & ((F.col(f"mapq{i}") > 0) | (F.size(more[i]) > 0)) & ~F.array_contains(F.transform(more[i], lambda x: x["ref"]), F.col(other))
+        apart &= F.exists(every[i], lambda x: x["len"] > short) & F.exists(every[i], lambda x: (x["pos"] < ends) & (x["len"] - x["pos"] < ends))
+    strangers = ~F.arrays_overlap(F.transform(every[1], lambda x: x["ref"]), F.transform(every[2], lambda x: x["ref"]))
+    sure = (F.col("mapq1") > 0) & (F.col("mapq2") > 0)
+    return pairs.where(mapped & able & (sure | (strangers & apart)))
 
 
 def near_both_ends(pos: Column, length: Column, distance: int) -> Column:

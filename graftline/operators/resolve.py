@@ -90,11 +90,11 @@ def _walked(paths: DataFrame, t: DataFrame) -> DataFrame:
     return grouped.select("read", F.flatten(F.transform("x", lambda e: e["parts"])).alias("path")).where(F.size("path") > 0)
 
 
-def resolve(nodes: DataFrame, graph: DataFrame, paths: DataFrame, max_length: int, supports: tuple[int, ...] = (20, 10, 5), rounds: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rounds of resolution of nodes up to max_length, shortest first, for ever less support."""
+def resolve(nodes: DataFrame, graph: DataFrame, paths: DataFrame, max_length: int, supports: tuple[int, ...] = (20, 10, 5)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rounds of resolution of nodes up to max_length, shortest first, for ever less support, until none is left to resolve."""
     nodes, graph, paths = nodes.select("node", F.col("node").alias("source"), "length"), graph.select("u", "v", "overlap"), paths.select("read", "path")
     for support in supports:
-        for _ in range(rounds):
+        while True:
             targets = nodes.where((F.col("length") <= max_length) & ~F.contains("node", F.lit("{"))).select("node", "length")
             able = valid_triplets(graph, paths, targets, support)
             ready = independent(targets.join(able.select("node").distinct(), "node", "left_semi"), graph)

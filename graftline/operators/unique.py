@@ -100,7 +100,7 @@ def _even_sides(graph: DataFrame, covs: list[DataFrame], ratio: float) -> DataFr
     return sides
 
 
-def diploid_unique(graph: DataFrame, paths: DataFrame, unique: DataFrame, ont: DataFrame, hifi: DataFrame, ratio: float = 1.5, max_rounds: int = 50) -> DataFrame:
+def diploid_unique(graph: DataFrame, paths: DataFrame, unique: DataFrame, ont: DataFrame, hifi: DataFrame, ratio: float = 1.5) -> DataFrame:
     """unique with the neighbours of nodes that are passed one to one by their triplets, spread until nothing is new.
 
     A node that is next to a unique one counts if it has as many followers as predecessors, all private to it
@@ -121,7 +121,7 @@ def diploid_unique(graph: DataFrame, paths: DataFrame, unique: DataFrame, ont: D
     passed = saved(per.where(paired & (F.col("s")[0]["times"] <= worst * 2) & (following.isNull() | (worst >= following * 2))).select("node"))
     near = saved(graph.join(passed, P.bare(F.col("u")) == F.col("node"), "left_semi").select(P.bare(F.col("u")).alias("core"), P.bare(F.col("v")).alias("node")).distinct())
     known = saved(unique.select("node").distinct())
-    for _ in range(max_rounds):
+    while True:
         cores = near.join(known, "node", "left_semi").select("core").distinct().join(known.withColumnRenamed("node", "core"), "core", "left_anti")
         new = saved(near.join(cores, "core", "left_semi").select("node").distinct().join(known, "node", "left_anti"))
         if new.isEmpty():

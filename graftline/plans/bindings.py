@@ -56,6 +56,11 @@ def links(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(F.concat(F.lit("p"), "l_partkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b")).distinct()
 
 
+def all_links(spark: SparkSession, sf: str) -> DataFrame:
+    """(a, b): as links, of all rows: one component, with a hub for each supplier."""
+    return read(spark, sf, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b")).distinct()
+
+
 def placements(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("read"), F.col("l_suppkey").alias("contig"), F.col("l_extendedprice").alias("score"))
 

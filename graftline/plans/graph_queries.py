@@ -177,13 +177,13 @@ def overlap_candidates(spark: Spark, sf: str) -> Frame:
     return FI.overlap_candidates(FI.minimizers(reads, 11, 8))
 
 
-@query("""WITH p AS (SELECT l_orderkey AS path, l_linenumber AS pos, l_partkey AS node, CAST(l_quantity AS BIGINT) AS len, l_suppkey FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1),
+@query("""WITH p AS (SELECT l_orderkey AS path, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS pos, l_partkey AS node, CAST(l_quantity AS BIGINT) AS len FROM lineitem),
 d AS (SELECT path, pos, node, len, coalesce(sum(len) OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(len) OVER (PARTITION BY path) AS total FROM p)
 SELECT DISTINCT node FROM d WHERE before < 10 OR total - before - len < 10""")
 def near_path_ends(spark: Spark, sf: str) -> Frame:
-    rows = B.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("path"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("node"), F.col("l_quantity").cast("long").alias("len"))
-    once = rows.groupBy("path", "pos").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node"), F.first("len").alias("len")).where("n = 1")
-    return FI.near_path_ends(once, 10)
+    pos = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("pos")
+    rows = B.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("path"), pos, F.col("l_partkey").alias("node"), F.col("l_quantity").cast("long").alias("len"))
+    return FI.near_path_ends(rows, 10)
 
 
 @query("""WITH d AS (SELECT l_orderkey AS path, l_partkey AS node, CAST(l_quantity AS BIGINT) AS len,

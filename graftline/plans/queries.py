@@ -68,9 +68,9 @@ def kmer_marker_counts(spark: Spark, sf: str) -> Frame:
     return both.withColumn("color", S.marker_color(F.col("hap1"), F.col("hap2")))
 
 
-@query(f"WITH {B.SEQS} SELECT id, md5(reverse(translate(seq, 'ACTG', 'TGAC'))) AS rc_md5 FROM seqs WHERE length(seq) >= 100")
+@query(f"WITH {B.SEQS} SELECT id, md5(reverse(translate(seq, 'ACTG', 'TGAC'))) AS rc_md5 FROM seqs")
 def reverse_complements(spark: Spark, sf: str) -> Frame:
-    return B.seqs(spark, sf).where(F.length("seq") >= 100).select("id", F.md5(S.reverse_complement(F.col("seq")).cast("binary")).alias("rc_md5"))
+    return B.seqs(spark, sf).select("id", F.md5(S.reverse_complement(F.col("seq")).cast("binary")).alias("rc_md5"))
 
 
 @query("""WITH c AS (SELECT doc_id, n_chars, md5(CAST(doc_id AS VARCHAR)) AS h FROM documents WHERE n_chars >= 1000)
@@ -161,12 +161,12 @@ def layout_gaps(spark: Spark, sf: str) -> Frame:
     return I.layout_gaps(iv, iv.select("key", F.lit(4000).cast("long").alias("length")).distinct()).select("key", F.col("s").cast("long"), F.col("e").cast("long"))
 
 
-@query(f"""WITH {B.IVALS}, w AS (SELECT DISTINCT key, s // 365 AS year, (s // 365) * 365 AS ws, (s // 365) * 365 + 365 AS we FROM ivals WHERE owner % 5 = 0)
+@query(f"""WITH {B.IVALS}, w AS (SELECT DISTINCT key, s // 365 AS year, (s // 365) * 365 AS ws, (s // 365) * 365 + 365 AS we FROM ivals)
 SELECT i.key, i.owner, i.s, i.e, w.year, greatest(s, ws) AS cs, least(e, we) AS ce FROM ivals i JOIN w ON i.key = w.key AND s < we AND ws < e""")
 def clipped_placements(spark: Spark, sf: str) -> Frame:
     iv = B.ivals(spark, sf)
     year = F.floor(F.col("s") / 365)
-    windows = iv.where("owner % 5 = 0").select("key", year.alias("year"), (year * 365).alias("ws"), (year * 365 + 365).alias("we")).distinct()
+    windows = iv.select("key", year.alias("year"), (year * 365).alias("ws"), (year * 365 + 365).alias("we")).distinct()
     return I.clipped_to(iv, windows, "key").select("key", "owner", "s", "e", "year", "cs", "ce")
 
 
@@ -362,6 +362,30 @@ def degree_stats(spark: Spark, sf: str) -> Frame:
     return C.degree_statistics(B.links(spark, sf)).select(*[F.round(c, 9).alias(c) for c in ("mean", "deviation", "limit")])
 
 
+EDGES = """links AS (SELECT DISTINCT 'p' || l_partkey AS a, 's' || l_suppkey AS b FROM lineitem), s AS (SELECT a AS x, b AS y FROM links UNION SELECT b, a FROM links)"""
+
+
+@query(f"""WITH {EDGES}, d AS (SELECT x, count(*) AS degree FROM s GROUP BY x)
+SELECT round(avg(degree), 9) AS mean, round(stddev_pop(degree), 9) AS deviation, round(avg(degree) + 5 * stddev_pop(degree), 9) AS "limit" FROM d""")
+def degree_stats_all_links(spark: Spark, sf: str) -> Frame:
+    """As degree_stats, over the links of all rows."""
+    return C.degree_statistics(B.all_links(spark, sf)).select(*[F.round(c, 9).alias(c) for c in ("mean", "deviation", "limit")])
+
+
+def _spread(rounds: int) -> str:
+    return ",\n".join(f"l{i + 1} AS MATERIALIZED (SELECT x AS node, least(min(o.label), min(q.label)) AS label FROM s JOIN l{i} o ON o.node = x JOIN l{i} q ON q.node = y GROUP BY x)" for i in range(rounds))
+
+
+@query(f"""WITH {EDGES}, l0 AS (SELECT DISTINCT x AS node, x AS label FROM s),
+{_spread(12)}
+SELECT node, label AS component FROM l12""")
+def components_all_links(spark: Spark, sf: str) -> Frame:
+    """Components of the links of all rows: hubs with most nodes in one component. The SQL spreads labels over 12 links, more than any two nodes are apart here."""
+    links = B.all_links(spark, sf)
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b"))
+    return node_components(nodes, links)
+
+
 @query(f"""WITH RECURSIVE {B.LINKS}, e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 z AS (SELECT 'p' || p_partkey AS node, CAST(p_size AS BIGINT) AS size FROM part UNION ALL SELECT 's' || s_suppkey, 20 FROM supplier),
 r AS (SELECT node, size AS lim, 0 AS hop FROM z WHERE node IN (SELECT a FROM links) AND size BETWEEN 5 AND 12

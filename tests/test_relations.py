@@ -89,9 +89,22 @@ def test_choices_and_prefixes(spark):
 
 
 def test_pair_prefilter(spark):
-    schema = "ref1 string, ref2 string, aligned1 double, aligned2 double, alternatives1 array<string>, alternatives2 array<string>"
-    rows = table(spark, schema, ("a", "b", 0.9, 0.9, [], []), ("a", "a", 0.9, 0.9, [], []), ("a", "b", 0.2, 0.9, [], []), ("a", "b", 0.9, 0.9, ["b"], []), (None, "b", 0.9, 0.9, [], []))
-    assert R.pair_prefilter(rows).count() == 1
+    place = "array<struct<ref: string, pos: bigint, len: bigint>>"
+    schema = ", ".join(f"ref{i} string, pos{i} long, len{i} long, mapq{i} int, aligned{i} double, places{i} {place}" for i in (1, 2)) + ", name string"
+    mate = lambda ref, pos=5, size=20_000, mapq=60, aligned=0.9, places=(): (ref, pos, size, mapq, aligned, list(places))
+    far = 50_000_000
+    rows = table(
+        spark, schema,
+        (*mate("a"), *mate("b"), "unique"), (*mate("a", far, 2 * far), *mate("b", far, 2 * far), "unique in the middle"),
+        (*mate("a"), *mate("a"), "one reference"), (*mate(None), *mate("b"), "unmapped"), (*mate("a", aligned=0.4), *mate("b"), "poor"),
+        (*mate("a", places=[("b", 1, 9)]), *mate("b"), "on the mate's"), (*mate("a", mapq=0), *mate("b"), "nowhere else"),
+        (*mate("a", mapq=0, places=[("c", 1, 20_000)]), *mate("b"), "many places"),
+        (*mate("a", mapq=0, places=[("c", 1, 20_000)]), *mate("b", places=[("c", 1, 20_000)]), "places meet"),
+        (*mate("a", size=9_000, mapq=0, places=[("c", 1, 8_000)]), *mate("b"), "short"),
+        (*mate("a", far, 2 * far, 0, 0.9, [("c", far, 2 * far)]), *mate("b"), "middle"),
+        (*mate("a", far, 2 * far, 0, 0.9, [("c", 1, 20_000)]), *mate("b"), "one place not in the middle"),
+    )
+    assert sorted(r.name for r in R.pair_prefilter(rows).collect()) == ["many places", "one place not in the middle", "unique", "unique in the middle"]
 
 
 # homology, phasing, scaffolding
