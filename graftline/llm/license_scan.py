@@ -11,7 +11,8 @@ The templates are a parameter of bounded size and travel to the executors; docum
 where they are, whole and without a shuffle, and only words of the templates are told apart.
 
 Defined results: null and empty texts match nothing; equal matches at several places are several
-rows; an empty list of templates or an empty table gives no rows.
+rows; other columns are not read and may have any name; an empty list of templates or an empty table gives no rows.
+The default templates are notices, heads of license texts and identifier lines, not whole license texts.
 """
 
 from __future__ import annotations
@@ -31,9 +32,30 @@ from .common import table
 
 GRAM, WINDOW = 3, 2
 COVERAGE = 0.8
+IDENTIFIER = "SPDX-License-Identifier:"
 WORDS = re.compile(r"[^\W_]+")
 # Notices and permission texts as their licenses give them, without names and years.
 _PERMISSION = "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+# Licenses that are named by an identifier of their own, and what the family of GNU notices differs in.
+_IDENTIFIERS = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later "
+    "ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib"
+).split()
+_NOTICES = (
+    ("program", "GNU General Public License", "GPL-2.0", "2"),
+    ("library", "GNU Lesser General Public License", "LGPL-2.1", "2.1"),
+    ("program", "GNU Lesser General Public License", "LGPL-3.0", "3"),
+    ("program", "GNU Affero General Public License", "AGPL-3.0", "3"),
+)
+
+
+def _notice(work: str, licence: str, version: str) -> str:
+    return (
+        f"This {work} is free software; you can redistribute it and/or modify it under the terms of the {licence} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version. "
+        f"This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {licence} for more details."
+    )
+
+
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -58,6 +80,21 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    # The heads of whole license texts.
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
+    *((f"{name}-or-later", _notice(work, licence, version)) for work, licence, name, version in _NOTICES),
+    *((name, f"{IDENTIFIER} {name}") for name in _IDENTIFIERS),
 )
 
 
@@ -128,6 +165,8 @@ class Scanner:
         self.templates, self.coverage, self.gram, self.window = list(templates), coverage, gram, window
         self.ids: dict[str, int] = {}
         self.patterns = [[self.ids.setdefault(w, len(self.ids)) for w in WORDS.findall(text.lower())] for _, text in self.templates]
+        #: Another identifier is another license, so identifier lines have to match in full.
+        self.least = [1.0 if text.startswith(IDENTIFIER) else coverage for _, text in self.templates]
         index: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, pattern in enumerate(self.patterns):
             hashes = grams(np.array(pattern, np.int64), gram)
@@ -165,7 +204,7 @@ class Scanner:
         found = []
         for t, low, high in self.clusters(ids):
             a, b = max(0, low), max(0, high + len(self.patterns[t]))
-            if (m := align(ids[a:b].tolist(), self.patterns[t], low - a, high - a)) and m.coverage >= self.coverage:
+            if (m := align(ids[a:b].tolist(), self.patterns[t], low - a, high - a)) and m.coverage >= self.least[t]:
                 found.append(m._replace(template=t, start=m.start + a, end=m.end + a))
         chosen: list[Match] = []
         for m in sorted(set(found), key=lambda m: (-m.coverage, -m.matched, m.start, m.template)):

@@ -11,7 +11,7 @@ def brute(scanner, text):
     out = set()
     for t, pattern in enumerate(scanner.patterns):
         m = ls.align(ids, pattern, -len(pattern), len(ids))
-        if m and m.coverage >= scanner.coverage:
+        if m and m.coverage >= scanner.least[t]:
             out.add((t, m.matched, m.start, m.end))
     return out
 
@@ -52,3 +52,21 @@ def test_edge_rows(spark):
     got = sorted((str(r.id), r.license, r.coverage) for r in ls.scan_licenses(docs).collect())
     assert got == [("3", "MIT", 1.0), ("3", "MIT", 1.0), ("5", "GPL-3.0", 1.0), ("None", "CC-BY-4.0", 1.0)]
     assert ls.scan_licenses(docs.limit(0)).count() == 0 and ls.scan_licenses(docs, templates=()).count() == 0
+
+
+def test_notices_heads_and_identifiers():
+    scanner = ls.Scanner(ls.TEMPLATES)
+    cases = {
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007": "GPL-3.0",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991": "GPL-2.0",
+        "Licensed under the BSD-3-Clause licence": "BSD-3-Clause",
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later",
+        ls._notice("program", "GNU General Public License", "2"): "GPL-2.0-or-later",
+        ls._notice("library", "GNU Lesser General Public License", "2.1"): "LGPL-2.1-or-later",
+        ls._notice("program", "GNU Affero General Public License", "3"): "AGPL-3.0-or-later",
+        dict(ls.TEMPLATES)["GPL-3.0-or-later"]: "GPL-3.0-or-later",
+    }
+    for text, name in cases.items():
+        assert [ls.TEMPLATES[m.template][0] for m, _, _ in scanner.scan(f"some words before {text} and behind it")] == [name], text
+    assert not scanner.scan("SPDX-License-Identifier: Unknown-1.0")
