@@ -2,6 +2,10 @@
 
 Every stage reads what its predecessor wrote and returns the columns of `documents`; the last one
 returns the encoded documents. Documents appear twice in the mix where their source is taken twice.
+
+Defined results: texts that are null or have no letter go with the first stage; of equal texts, and of near-duplicates, the
+smallest doc_id stays, so ties and repeated rows leave one; very long texts are taken whole; a null source is a source of its
+own; other columns are kept up to the mix and may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
