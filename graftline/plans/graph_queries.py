@@ -129,12 +129,16 @@ def depths(spark: Spark, sf: str) -> Frame:
     return G.depths(link_nodes(spark, sf), link_arcs(spark, sf))
 
 
-@query()
+SIMPLE = f"""{B.LINKS}, simple AS (SELECT a, b FROM links WHERE a IN (SELECT a FROM links GROUP BY a HAVING count(*) = 1) AND b IN (SELECT b FROM links GROUP BY b HAVING count(*) = 1))"""
+
+
+@query(f"""WITH {SIMPLE}, n AS (SELECT a AS node FROM links UNION SELECT b FROM links)
+SELECT '>' || node AS unitig, CAST(0 AS BIGINT) AS pos, '>' || node AS step FROM n WHERE node NOT IN (SELECT b FROM simple) UNION ALL SELECT '>' || a, 1, '>' || b FROM simple""")
 def unitigs(spark: Spark, sf: str) -> Frame:
     return G.unitigs(link_nodes(spark, sf), link_arcs(spark, sf))
 
 
-@query()
+@query(f"""WITH {SIMPLE} SELECT '>' || a AS s, '>' || b AS t FROM simple UNION ALL SELECT '<' || b, '<' || a FROM simple""")
 def superbubbles(spark: Spark, sf: str) -> Frame:
     return BU.superbubbles(link_nodes(spark, sf).withColumn("coverage", F.lit(1.0)), link_arcs(spark, sf), chain_steps=True)
 
@@ -156,7 +160,12 @@ def thinned_cuts(spark: Spark, sf: str) -> Frame:
     return I.thinned_cuts(iv.select(F.col("key").alias("node"), F.col("s").alias("at")), iv.select(F.col("key").alias("node"), F.lit(4000).alias("length")).distinct(), least=200)
 
 
-@query()
+@query(f"""WITH RECURSIVE {B.IVALS}, n AS (SELECT key, s, e, row_number() OVER (PARTITION BY key ORDER BY s, e) AS i, count(*) OVER (PARTITION BY key) AS m FROM ivals),
+r AS (SELECT key, i, m, [{{'e': CAST(e AS BIGINT), 'x': CAST(e - s AS BIGINT)}}] AS done FROM n WHERE i = 1
+  UNION ALL SELECT n.key, n.i, n.m, list_append(r.done, {{'e': CAST(n.e AS BIGINT),
+    'x': CAST(n.e - n.s + coalesce(list_max(list_transform(list_filter(r.done, lambda d: d.e <= n.e AND n.s - d.e <= 365), lambda d: d.x - greatest(0, d.e - n.s))), 0) AS BIGINT)}})
+  FROM r JOIN n ON n.key = r.key AND n.i = r.i + 1)
+SELECT key, list_max(list_transform(done, lambda d: d.x)) AS best FROM r WHERE i = m""")
 def chained_intervals(spark: Spark, sf: str) -> Frame:
     return I.chained_length(B.ivals(spark, sf), jump=365)
 
