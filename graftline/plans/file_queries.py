@@ -249,3 +249,51 @@ def cleared_duplications(spark: Spark, sf: str) -> Frame:
     edges = li.groupBy(key).agg((F.sum("l_quantity").cast("long") * 100).alias("covered"), weight.alias("weight")).select(name(key).alias("a"), name(key + 25).alias("b"), "covered", "weight").where("a < b")
     far = li.where("l_suppkey % 4 = 0").select(F.concat(F.lit(">"), name(key)).alias("start"), F.concat(F.lit("<"), name(key + 25)).alias("end"), (F.col("l_linenumber") * 1_500_000).cast("long").alias("distance"))
     return PH.without_duplications(edges, part.select("node", "component"), part, far)[0].select("a", "b", "covered")
+
+
+def brand_edges(spark: Spark, sf: str) -> tuple[Frame, Frame]:
+    """(nodes, edges): parts with their brand as component, and matches between parts 25 apart."""
+    key = F.col("l_partkey")
+    weight = F.min(F.when(F.col("l_quantity") < 3, 0).otherwise(F.when(F.col("l_tax") > 0.02, -10).otherwise(0)))
+    edges = B.read(spark, sf, "lineitem").groupBy(key).agg((F.sum("l_quantity").cast("long") * 100).alias("covered"), weight.alias("weight"))
+    part = B.read(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("node"), (F.col("p_size") * 200_000).cast("long").alias("length"), F.col("p_brand").alias("component"))
+    return part, edges.where("l_partkey % 3 = 0").select(key.cast("string").alias("a"), (key + 25).cast("string").alias("b"), "covered", "weight")
+
+
+BRANDS = """nodes AS (SELECT CAST(p_partkey AS VARCHAR) AS node, p_size * 200000 AS length, p_brand AS component FROM part),
+edges AS (SELECT CAST(l_partkey AS VARCHAR) AS a, CAST(l_partkey + 25 AS VARCHAR) AS b FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY l_partkey
+  HAVING min(CASE WHEN l_quantity < 3 THEN 0 WHEN l_tax > 0.02 THEN -10 ELSE 0 END) <> 0),
+h AS (SELECT a AS node FROM edges UNION SELECT b FROM edges)"""
+
+
+@query(f"""WITH {BRANDS} SELECT component, 2 * sum(CASE WHEN node IN (SELECT node FROM h) THEN length ELSE 0 END) > sum(length) AS diploid FROM nodes GROUP BY component""")
+def diploid_brands(spark: Spark, sf: str) -> Frame:
+    nodes, edges = brand_edges(spark, sf)
+    return PH.diploid_components(nodes.select("node", "component"), nodes, edges)
+
+
+@query(f"""WITH {BRANDS}, p AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS path, CAST(l_partkey AS VARCHAR) AS node FROM lineitem)
+SELECT path FROM p JOIN nodes USING (node) GROUP BY path HAVING 2 * sum(CASE WHEN node IN (SELECT node FROM h) THEN length ELSE 0 END) < sum(length)""")
+def haploid_orders(spark: Spark, sf: str) -> Frame:
+    nodes, edges = brand_edges(spark, sf)
+    steps = B.read(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("path"), F.col("l_partkey").cast("string").alias("node")).distinct()
+    return PH.haploid_paths(steps, nodes, edges)
+
+
+@query("""WITH n AS (SELECT p_partkey, p_size, 'tig000' || p_partkey || '_x' || p_size || CASE WHEN p_size % 2 = 0 THEN '_cut' || p_size ELSE '_u1' END AS name FROM part)
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN name ELSE 'tig000' || p_partkey || '_x' || p_size END AS base, regexp_replace(name, '^tig0*', '') AS plain, name AS first_word,
+  CAST(CASE WHEN p_size % 3 = 0 THEN p_size * 7 ELSE p_size END AS BIGINT) AS length, CASE p_size % 3 WHEN 0 THEN p_size / 4 WHEN 1 THEN p_size / 2 END AS coverage,
+  p_size / 64 AS identity, p_size % 4 < 2 AS truth FROM n""")
+def name_and_tag_rules(spark: Spark, sf: str) -> Frame:
+    size = F.col("p_size")
+    text_of = lambda c: c.cast("string")
+    name = F.concat(F.lit("tig000"), text_of(F.col("p_partkey")), F.lit("_x"), text_of(size), F.when(size % 2 == 0, F.concat(F.lit("_cut"), text_of(size))).otherwise(F.lit("_u1")))
+    tag = lambda prefix, value: F.concat(F.lit(prefix), text_of(value))
+    tags = F.when(size % 3 == 0, F.array(tag("LN:i:", size * 7), tag("ll:f:", size / 2), tag("kl:f:", size / 4))).when(size % 3 == 1, F.array(tag("ll:f:", size / 2))).otherwise(F.array(F.lit("xx:i:1")))
+    rows = B.read(spark, sf, "part").select("p_partkey", size.cast("long").alias("p_size"), name.alias("name"), tags.alias("tags"))
+    word = F.element_at(F.array(F.lit("YES"), F.lit("true"), F.lit("no"), F.lit("0")), (F.col("p_size") % 4 + 1).cast("int"))
+    return rows.select(
+        "p_partkey", S.base_name(F.col("name")).alias("base"), S.replaced_name(F.col("name"), F.lit(None).cast("string")).alias("plain"), S.read_name(F.concat("name", F.lit(" and more"))).alias("first_word"),
+        S.segment_length(F.repeat(F.lit("A"), F.col("p_size").cast("int")), F.col("tags")).alias("length"), S.coverage_tag(F.col("tags")).alias("coverage"),
+        S.identity(F.concat(F.lit("id:f:"), (F.col("p_size") / 64).cast("string"))).alias("identity"), S.truth(word).alias("truth"),
+    )
