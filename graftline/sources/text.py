@@ -151,14 +151,16 @@ def homology(spark: SparkSession, path: str, least: int = 0) -> DataFrame:
 def contacts(spark: SparkSession, path: str, multimappers: bool = False) -> DataFrame:
     """(read, a, b, w, ca, cb) of contact rows with 3, 4 or 6 columns; a < b, own pairs dropped.
 
-    Columns: read, first, second[, weight[, place in first, place in second]]. Names with a comma are multimappers.
+    Columns, parted by white space: read, first, second[, weight[, place in first, place in second]]. Lines with a # or
+    fewer columns are no rows. Names with a comma are multimappers: each of the first with each of the second.
     """
-    f = fields(lines(spark, path))
-    rows = f.select(_at(0).alias("read"), _at(1).alias("x"), _at(2).alias("y"), F.coalesce(_at(3, "long"), F.lit(1)).alias("w"), _at(4, "long").alias("cx"), _at(5, "long").alias("cy")).where("x <> y")
+    f = lines(spark, path).where(~F.contains("value", F.lit("#"))).select(F.split(F.trim("value"), r"\s+").alias("f")).where(F.size("f") >= 3)
+    rows = f.select(_at(0).alias("read"), _at(1).alias("x"), _at(2).alias("y"), F.coalesce(_at(3, "long"), F.lit(1)).alias("w"), _at(4, "long").alias("cx"), _at(5, "long").alias("cy"))
     if not multimappers:
         rows = rows.where(~F.contains("x", F.lit(",")) & ~F.contains("y", F.lit(",")))
     else:
-        rows = rows.withColumn("x", F.explode(F.split("x", ","))).withColumn("y", F.explode(F.split("y", ","))).where("x <> y")
+        rows = rows.withColumn("x", F.explode(F.split("x", ","))).withColumn("y", F.explode(F.split("y", ",")))
+    rows = rows.where("x <> y")
     turned = F.col("x") > F.col("y")
     pick = lambda a, b: F.when(turned, F.col(b)).otherwise(F.col(a))
     return rows.select("read", pick("x", "y").alias("a"), pick("y", "x").alias("b"), "w", pick("cx", "cy").alias("ca"), pick("cy", "cx").alias("cb"))
