@@ -19,10 +19,11 @@ from .relations import near_own_identity, paths_with
 def trimmed_alignments(alignments: DataFrame, nodes: DataFrame, graph: DataFrame, trim: int) -> DataFrame:
     """alignments shortened by `trim` bases at both ends, without the nodes that only the trimmed parts touch.
 
-    A node counts as touched up to its overlap with the next one. What is left empty goes.
+    A node counts as touched up to its overlap with the next one. What is left empty goes; repeated rows stay repeated.
     """
-    a = alignments.withColumn("_id", F.struct("read", "rstart", "rend", "path"))
-    steps = a.select("_id", "pstart", "pend", F.posexplode("path").alias("pos", "step"))
+    a = alignments.withColumn("_id", F.struct("read", "rstart", "rend", "path", "pstart", "pend"))
+    # Each alignment is placed once, however often its row occurs.
+    steps = a.select("_id").distinct().select("_id", F.col("_id.pstart").alias("pstart"), F.col("_id.pend").alias("pend"), F.posexplode("_id.path").alias("pos", "step"))
     steps = steps.join(nodes.select(F.col("node").alias("_n"), F.col("length").alias("len")), P.bare(F.col("step")) == F.col("_n")).drop("_n")
     by = Window.partitionBy("_id").orderBy("pos")
     steps = steps.withColumn("_u", F.lag("step").over(by)).join(graph.select(F.col("u").alias("_u"), F.col("v").alias("step"), "overlap").distinct(), ["_u", "step"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))

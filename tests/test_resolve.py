@@ -44,6 +44,10 @@ def test_trimmed_alignments(spark):
     assert [(r.read, r.path, r.rstart, r.rend, r.pstart, r.pend, r.plen) for r in got] == [("r", [">b", ">c"], 10, 240, 15, 100, 190)]
     none = spark.createDataFrame([], "read string")
     assert sorted(r.read for r in FI.maybe_trimmed(aln, n, g, 10, none).collect()) == ["r", "s"]
+    # A repeated row stays repeated, and one that differs in its place on the path only is placed by itself.
+    shifted = aln.where("read = 'r'").withColumn("pstart", F.lit(0).cast("long"))
+    more = FI.trimmed_alignments(aln.union(aln).union(shifted), n, g, 10).collect()
+    assert sorted(("".join(r.path), r.pstart, r.plen) for r in more) == [(">a>b>c", 10, 280), (">b>c", 15, 190), (">b>c", 15, 190)]
 
 
 def test_lineage_and_trio(spark):
