@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
@@ -170,14 +171,44 @@ def chained_intervals(spark: Spark, sf: str) -> Frame:
     return I.chained_length(B.ivals(spark, sf), jump=365)
 
 
-@query()
+ORDER_STEPS = """steps AS (
+  SELECT l_orderkey AS read, l_partkey || l_returnflag AS node, l_quantity >= 25 AS fw, CAST(100 + 10 * length(l_partkey || l_returnflag) AS BIGINT) AS len,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS pos FROM lineitem)"""
+
+
+def order_steps(spark: Spark, sf: str) -> Frame:
+    """(read, node, fw, len, pos): an order as a walk over parts, told apart by their return flags; a node has about ten places at any size."""
+    by = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    node = F.concat("l_partkey", "l_returnflag")
+    return B.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("read"), node.alias("node"), (F.col("l_quantity") >= 25).alias("fw"), (100 + 10 * F.length(node)).cast("long").alias("len"), F.row_number().over(by).alias("pos"))
+
+
+@query(f"""WITH {ORDER_STEPS},
+sized AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY read ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off, sum(len) OVER (PARTITION BY read) AS plen FROM steps),
+cut AS (SELECT *, 3 AS rstart, read % 40 AS pstart, plen - read % 30 AS pend, plen - read % 30 - read % 40 + 10 AS rlen FROM sized),
+part AS (SELECT read, rlen, node, len, fw AS f, greatest(pstart, off) - off AS na, least(pend, off + len) - off AS nb,
+  rstart + greatest(pstart, off) - pstart AS xs, rstart + least(pend, off + len) - pstart AS xe FROM cut WHERE greatest(pstart, off) < least(pend, off + len)),
+place AS (SELECT o_custkey AS contig, node, fw, coalesce(sum(len) OVER (PARTITION BY o_custkey ORDER BY read, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM steps JOIN orders ON read = o_orderkey),
+m AS (SELECT read, contig, f = fw AS forward, off + (CASE WHEN f = fw THEN na ELSE len - nb END) - (CASE WHEN f = fw THEN xs ELSE rlen - xe END) AS cs, xs, xe, rlen FROM part JOIN place USING (node)),
+c AS (SELECT *, sum(new) OVER (PARTITION BY read, contig, forward ORDER BY cs, xs, xe ROWS UNBOUNDED PRECEDING) AS cluster FROM (
+  SELECT *, CASE WHEN cs < lag(cs) OVER (PARTITION BY read, contig, forward ORDER BY cs, xs, xe) + 50 THEN 0 ELSE 1 END AS new FROM m)),
+u AS (SELECT *, greatest(xe - greatest(xs, coalesce(max(xe) OVER (PARTITION BY read, contig, forward, cluster ORDER BY xs, xe ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), xs)), 0) AS own FROM c),
+k AS (SELECT read, contig, forward, cluster, max(cs) AS cs, max(cs) + any_value(rlen) AS ce, sum(own) AS exact FROM u
+  GROUP BY ALL HAVING max(xe) - min(xs) >= any_value(rlen) * 0.5 AND sum(own) >= any_value(rlen) * (0.5 / 3)),
+best AS (SELECT DISTINCT read, contig, forward, cs, ce FROM (SELECT *, max(exact) OVER (PARTITION BY read) AS most FROM k) WHERE exact = most)
+SELECT contig, read, CAST(CASE WHEN forward THEN cs ELSE ce END AS BIGINT) AS bgn, CAST(CASE WHEN forward THEN ce ELSE cs END AS BIGINT) AS "end", count(*) OVER (PARTITION BY read) AS copies FROM best""")
 def read_layout(spark: Spark, sf: str) -> Frame:
-    w = walks(spark, sf)
-    nodes = w.select(F.explode("path").alias("s")).select(P.bare(F.col("s")).alias("node")).distinct().withColumn("length", (100 + 10 * F.length("node")).cast("long"))
-    contigs = w.where("size(path) >= 3").select(F.col("read").alias("contig"), "path")
-    size = F.aggregate("path", F.lit(0).cast("long"), lambda s, x: s + 100 + 10 * (F.length(x) - 1))
-    reads = w.select("read", size.alias("rlen"), F.lit(0).alias("rstart"), "path", size.alias("plen"), F.lit(0).alias("pstart"), size.alias("pend"))
-    return L.layout(reads, contigs, nodes, max_copies=None, max_matches=None)
+    """Orders, cut a little at both ends, placed on their customers' whole sequences of steps, under the operator's default limits."""
+    steps = order_steps(spark, sf)
+    walked = F.transform(F.array_sort(F.collect_list(F.struct("pos", F.concat(F.when(F.col("fw"), F.lit(">")).otherwise(F.lit("<")), "node").alias("step")))), lambda x: x["step"])
+    reads = steps.groupBy("read").agg(walked.alias("path"), F.sum("len").alias("plen"))
+    reads = reads.withColumn("pstart", F.col("read") % 40).withColumn("pend", F.col("plen") - F.col("read") % 30)
+    reads = reads.select("read", (F.col("pend") - F.col("pstart") + 10).alias("rlen"), F.lit(3).cast("long").alias("rstart"), "path", "plen", "pstart", "pend")
+    orders = B.read(spark, sf, "orders").select(F.col("o_orderkey").alias("read"), "o_custkey")
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("read", "path"))), lambda x: x["path"]))
+    contigs = reads.select("read", "path").join(orders, "read").groupBy(F.col("o_custkey").alias("contig")).agg(whole.alias("path"))
+    return L.layout(reads, contigs, steps.select("node", F.col("len").alias("length")).distinct())
 
 
 @query()

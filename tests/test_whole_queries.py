@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import itertools
 import random
 from collections import Counter, defaultdict
@@ -47,19 +46,21 @@ def placed(walks):
     return out
 
 
-def test_read_layout_takes_every_walk(spark, tmp_path):
+def test_layout_without_limits_takes_every_walk(spark):
     rng = random.Random(8)
-    rows, walks, n = [], {}, 0
+    walks = {}
     for user in range(14):
         steps = []
         for i in range(rng.choice([1, 2, 3, 4, 6, 9])):
             kind, value, hour = rng.choice(["click", "purchase"]), rng.choice([10.0, 90.0]), i * 2
-            n += 1
-            rows.append((n, user, dt.datetime(2024, 1, 1, hour), kind, value))
             steps.append(f"{'>' if value >= 50 else '<'}{kind}{hour // 6}")
         walks[f"{user}/2024-01-01"] = steps
-    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
-    got = {tuple(r) for r in registry.QUERIES["read_layout"](spark, str(tmp_path)).select("contig", "read", "bgn", "end", "copies").collect()}
+    size = lambda path: sum(100 + 10 * (len(x) - 1) for x in path)
+    names = {x[1:] for path in walks.values() for x in path}
+    nodes = spark.createDataFrame([(x, size([f">{x}"])) for x in names], "node string, length long")
+    contigs = spark.createDataFrame([(w, p) for w, p in walks.items() if len(p) >= 3], "contig string, path array<string>")
+    reads = spark.createDataFrame([(w, size(p), 0, p, 0, size(p)) for w, p in walks.items()], "read string, rlen long, rstart long, path array<string>, pstart long, pend long")
+    got = {tuple(r) for r in L.layout(reads, contigs, nodes, max_copies=None, max_matches=None).select("contig", "read", "bgn", "end", "copies").collect()}
     assert got == placed(walks) and {r for _, r, *_ in got} == set(walks)
 
 
