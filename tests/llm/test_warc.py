@@ -104,10 +104,48 @@ def test_truncated_and_damaged_members_keep_their_first_records(cut):
     assert ids(warc.salvage(bytes(crc))) == ["<urn:page:1>", "<urn:page:2>"]
 
 
-def test_a_member_that_inflates_to_too_much_is_cut(monkeypatch):
-    monkeypatch.setattr(warc, "INFLATED_BYTES", 100_000)
-    found = warc.salvage(gzip.compress(record(1, b"x") + record(2, b"y" * 10_000_000)) + gzip.compress(record(3, b"z")))
-    assert ids(found) == ["<urn:page:1>", "<urn:page:3>"] and any("too much" in g[2] for g in found.gaps)
+@pytest.mark.parametrize("slice_bytes", [50, 1000, 1 << 24])
+def test_members_of_any_size_are_searched_in_slices(monkeypatch, slice_bytes):
+    """Also where a version line, headers or a record lie across slices, and with damage between them."""
+    monkeypatch.setattr(warc, "SEARCHED_BYTES", slice_bytes)
+    rows = [record(i, hashlib.sha256(bytes([i])).hexdigest().encode() * (1 + 40 * (i % 5 == 0))) for i in range(40)]
+    rows[7] = rows[7][:60] + b"?" + rows[7][60:]
+    rows[20] = rows[20][:-9]
+    plain = b"".join(rows)
+    found = warc.salvage(gzip.compress(plain) + gzip.compress(record(99, b"z")))
+    assert ids(found) == [f"<urn:page:{i}>" for i in range(40) if i not in (7, 20)] + ["<urn:page:99>"]
+    assert len(found.gaps) == 2 and all("inflated bytes" in g[2] for g in found.gaps)
+    assert sum(len(r) for i, r in enumerate(rows) if i in (7, 20)) == sum(int(b) - int(a) for a, b in (g[2].split("bytes ")[1].rstrip(")").split(" to ") for g in found.gaps))
+
+
+def test_lengths_and_digests_are_measured(spark, tmp_path):
+    assert warc.salvage(record(1, b"12345", **{"Payload-Length": "999"})).gaps[0][2] == "payload length doesn't match"
+    p = b"not a page of ours" * 9
+    (tmp_path / "crawl-0001.warc").write_bytes(record(1, p, **{"WARC-Payload-Digest": sha1(p)}) + record(2, p).replace(b"WARC-Payload-Digest", b"X-Digest"))
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "x.warc.gz").write_bytes(gzip.compress(record(3, p)))
+    got = {(r.page_id, r.payload_bytes, r.payload_digest) for r in warc.page_records(spark, str(tmp_path)).collect()}
+    assert got == {(i, len(p), hashlib.sha256(p).hexdigest()) for i in (1, 2, 3)}
+    assert warc.read_archives(spark, str(tmp_path), "*.gz").count() == 1
+
+
+def test_a_header_that_is_there_twice_is_two_records():
+    """The rest of a record that was cut inside its headers is no part of the next one's."""
+    a, b = record(1, b"a" * 200), record(2, b"b" * 200)
+    found = warc.salvage(a[:120] + b)
+    assert ids(found) == ["<urn:page:2>"] and found.gaps[0][:2] == (0, 120)
+
+
+@pytest.mark.parametrize("line", [b"WARC/1.1\r\n", b"a: WARC/1.1\r\n", b"WARC/1.1\r\nContent-Length: 5\r\n", b"WARC/1.1\r\nA: b\r\n\r\n", b"xWARC/1.1\r\n"])
+def test_time_is_linear_in_false_version_lines(line):
+    took = {}
+    for n in (10_000, 40_000):
+        began = time.process_time()
+        found = warc.salvage(line * n + b"\r\n" + record(1, b"x"))
+        assert ids(found) == ["<urn:page:1>"]
+        assert not warc.salvage(line * n).records
+        took[n] = time.process_time() - began
+    assert took[40_000] < 8 * took[10_000] + 1
 
 
 def test_time_is_linear_in_members_and_false_starts():
