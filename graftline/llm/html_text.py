@@ -3,16 +3,18 @@
 Pages of a host are ordered by URL path; each is paired with whichever of its two neighbours has
 the path with the smaller edit distance. The text lines (blocks) of both are aligned by longest
 common subsequence, and lines that both pages share are deleted: what a site repeats is not what
-a page says.
+a page says. Where the two share four fifths of their lines or more, they may be near copies: then only lines go that the page shares with its
+other neighbour, too, and none if it has no other.
 
 Alone, this gives wrong results in two ways: a footer or advert that differs from page to page
 stays, and an article that a site publishes twice goes. So the markup decides first: lines
 inside menus, headers, footers, sidebars, notices, adverts, forms and reader comments go whether shared or
 not, and lines inside an `article` (or, without one, `main`) element stay, shared or not. Lines that the
 markup says nothing about are kept or deleted by the differencing: those of pages without
-such an element, and those inside `main` but beside its article. If all lines of a page without such an element are shared, the two pages are
+such an element, and those inside `main` but beside its article. Inside an article a class or id of SOFT_WORDS (reviews, related, share, ...) is only a first guess:
+such lines go unless the differencing finds a page to compare with and they are not shared with it. If all lines of a page without such an element are shared, the two pages are
 copies and none is deleted. Words in class and id count only where the whole name is made of them and of words of layout,
-so `share-price` or `ad-hoc-query` mark nothing.
+so `share-price` or `ad-hoc-query` mark nothing; `userComments` is read as `user-comments`.
 
 Scale: pages travel as one 32-bit hash for each line; ordering is by ranges of (host, path), so one
 host may hold most pages. Only the pages that lose lines get a list of them back, by broadcast below
@@ -55,6 +57,12 @@ DROPPED_WORDS = set(
     "disqus footer form gdpr header login menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted "
     "related reader-comments respond reviews share sharing sidebar signup skip-link social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+#: Of these, words that can also name a part of an article.
+SOFT_WORDS = set("reviews related share sharing subscribe subscription notice notices copyright disclaimer promoted pager pagination".split())
+#: Words that mark an article element as one beside the page's own.
+OTHER_ARTICLES = {"comment", "comments", "ad", "advert", "promo", "related", "teaser", "teasers", "recommended", "sponsored"}
+#: Pages that share so much of their lines may be near copies.
+NEAR_COPY = 0.8
 #: Words that may stand beside these in a name.
 LAYOUT_WORDS = set(
     "area articles article bar block body bottom box button buttons column container content count desktop entry fixed frame global group holder icons inner item items js large left link links list "
@@ -67,42 +75,87 @@ SCOPES = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body"
 
 @dataclass
 class Line:
-    """A block's text, whether the markup drops it, and whether it is in an article or main element."""
+    """A block's text, whether the markup drops it, whether it is in an article or main element, and whether a soft word stands above it."""
 
     text: str
     dropped: bool
     article: bool
     main: bool
+    soft: bool = False
 
 
-def _names(token: str, words: set[str]) -> bool:
-    """Whether the token is one of the words, or is made of some and of words of layout and numbers."""
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+
+
+def _names(token: str, words: set[str]) -> set[str]:
+    """The words that the token names, if it is one of them or is made of some and of words of layout and numbers."""
     if token in words:
-        return True
+        return {token}
     parts = {p for p in re.split(r"[-_]+", token) if p and not p.isdigit()}
-    return bool(parts & words) and parts <= words | DROPPED_WORDS | LAYOUT_WORDS
+    return parts & words if parts <= words | DROPPED_WORDS | LAYOUT_WORDS else set()
 
 
-def _marks(name: str, attrs: str, in_content: bool) -> bool:
-    """Whether the element's name or attributes say that it is no main text."""
+def _marks(name: str, attrs: str, in_content: bool) -> tuple[bool, bool]:
+    """Whether the element's name or attributes say that it is no main text, and whether words say so that can also name a part of it."""
     if name in DROPPED or (name == "header" and not in_content):
-        return True
-    if not attrs.strip():
-        return False
-    for key, *values in ATTRIBUTE.findall(attrs):
-        key, value = key.lower(), "".join(values).lower()
+        return True, False
+    soft = False
+    for key, *values in ATTRIBUTE.findall(attrs) if attrs.strip() else ():
+        key, plain = key.lower(), "".join(values)
+        value = plain.lower()
         if key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-            # An article's own heading is part of it, and has-sidebar or no-header say what is beside.
-            words = DROPPED_WORDS - {"header"} if in_content else DROPPED_WORDS
-            if any(_names(w, words) for w in value.split()):
-                return True
-        if key in ("class", "id") and name == "article" and any(set(re.split(r"[-_]+", w)) & {"comment", "comments", "ad", "advert", "promo", "related"} for w in value.split()):
-            return True
-    return False
+            return True, False
+        if key in ("class", "id"):
+            tokens = [CAMEL.sub("-", w).lower() for w in plain.split()]
+            if name not in ("html", "body", "article", "main"):
+                # An article's own heading is part of it, and has-sidebar or no-header say what is beside.
+                words = DROPPED_WORDS - {"header"} if in_content else DROPPED_WORDS
+                found = set().union(*[_names(w, words) for w in tokens])
+                if found and (not in_content or found - SOFT_WORDS):
+                    return True, False
+                soft = soft or bool(found)
+            if name == "article" and any(set(re.split(r"[-_]+", w)) & OTHER_ARTICLES for w in tokens):
+                return True, False
+    return False, soft
+
+
+class Open:
+    """The open elements, innermost last, with the places of each name; what is asked takes no walk over them."""
+
+    def __init__(self):
+        #: Of each element: name, dropped, in article, in main, soft.
+        self.stack: list[tuple[str, bool, bool, bool, bool]] = []
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def top(self) -> tuple[str, bool, bool, bool, bool]:
+        return self.stack[-1] if self.stack else ("", False, False, False, False)
+
+    def push(self, name: str, *flags: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.stack.append((name, *flags))
+
+    def cut(self, size: int) -> None:
+        while len(self.stack) > size:
+            name = self.stack.pop()[0]
+            self.places[name].pop()
+            if name in SCOPES:
+                self.scopes.pop()
+
+    def last(self, name: str) -> int:
+        """The place of the innermost element of this name, -1 if there is none."""
+        found = self.places.get(name)
+        return found[-1] if found else -1
+
+    def end(self, names: set[str]) -> None:
+        """Ends what is inside the innermost scope from the innermost element of these names that no further scope is in, as often as there is one."""
+        scope = self.scopes[-1] if self.scopes else -1
+        while (at := max(map(self.last, names), default=-1)) > scope:
+            self.cut(at)
 
 
 def page_lines(html: str | None) -> list[Line]:
@@ -110,14 +163,14 @@ def page_lines(html: str | None) -> list[Line]:
     html = html or ""
     out: list[Line] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, dropped, in article, in main
+    open_ = Open()
 
     def flush() -> None:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                _, dropped, article, main = stack[-1] if stack else ("", False, False, False)
-                out.append(Line(text, dropped, article, main))
+                _, dropped, article, main, soft = open_.top()
+                out.append(Line(text, dropped, article, main, soft))
             parts.clear()
 
     at = 0
@@ -145,45 +198,43 @@ def page_lines(html: str | None) -> list[Line]:
             if name not in INLINE:
                 flush()
             continue
-        marked = not close and _marks(name, attrs, bool(stack) and (stack[-1][2] or stack[-1][3]))
-        if name in INLINE and not marked:
-            if close and any(s[0] == name for s in stack):  # an inline element that was marked
+        _, dropped, article, main, soft = open_.top()
+        marked, guessed = (False, False) if close else _marks(name, attrs, article or main)
+        if name in INLINE and not marked and not guessed:
+            if close and open_.last(name) >= 0:  # an inline element that was marked
                 flush()
-                while stack.pop()[0] != name:
-                    pass
+                open_.cut(open_.last(name))
             continue
         flush()
         if close:
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if open_.last(name) >= 0:
+                open_.cut(open_.last(name))
             continue
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in ENDS.get(name, {"p"} if name not in INLINE else ()):
-                del stack[i:]
-            elif stack[i][0] in SCOPES:
-                break
-        _, dropped, article, main = stack[-1] if stack else ("", False, False, False)
+        open_.end(ENDS.get(name, {"p"} if name not in INLINE else set()))
+        _, dropped, article, main, soft = open_.top()
         own_main = name == "main" or bool(re.search(r"""role\s*=\s*["']?main\b""", attrs, re.I))
         if not attrs.rstrip().endswith("/") or name not in ("svg", "math"):
-            stack.append((name, dropped or marked, article or name == "article", main or own_main))
+            open_.push(name, dropped or marked, article or name == "article", main or own_main, soft or guessed)
     if at < len(html) and not html.startswith("<", at):
         parts.append(html[at:])
     flush()
     return out
 
 
-def candidates(lines: Sequence[Line]) -> tuple[list[int], set[int]]:
-    """The lines that the markup lets stay, and those of them that the differencing may delete."""
+def candidates(lines: Sequence[Line]) -> tuple[list[int], set[int], set[int]]:
+    """The lines that the markup lets stay, those of them that the differencing may delete, and those that it may bring back."""
     article = [i for i, x in enumerate(lines) if x.article and not x.dropped]
     main = [i for i, x in enumerate(lines) if x.main and not x.dropped]
+    soft = {i for i in (article or main) if lines[i].soft}
+    if len(soft) == len(article or main):  # then the words name the article itself
+        soft = set()
     if article:
-        beside = set(main) - set(article)
-        return sorted({*article, *beside}), beside
+        beside = set(main) - set(article) - soft
+        return sorted({*article, *beside} - soft), beside, soft
     if main:
-        return main, set()
+        return [i for i in main if i not in soft], set(), soft
     stay = [i for i, x in enumerate(lines) if not x.dropped]
-    return stay, set(stay)
+    return stay, set(stay), set()
 
 
 def shared_lines(a: Sequence[int], b: Sequence[int]) -> list[int]:
@@ -239,34 +290,50 @@ def _middle(a: Sequence[int], b: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
+#: Of a line: the differencing may delete it, may delete all lines, may bring it back.
+FREE, EVERY, SOFT, BITS = 1, 2, 4, 3
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page: a hash for each line, times four, plus one if the differencing may delete it, plus two if it may delete all."""
+    """Of each page a hash for each line, with its bits behind it."""
     for batch in batches:
         rows = []
         for text in batch.column(2):
             lines = page_lines(text.as_py())
-            stay, free = candidates(lines)
-            every = 2 * (len(free) == len(stay))
-            rows.append([zlib.crc32(x.text.encode("utf-8", "surrogatepass")) * 4 + every + (i in free) for i, x in enumerate(lines)])
+            stay, free, soft = candidates(lines)
+            every = EVERY * (len(free) == len(stay))
+            rows.append([zlib.crc32(x.text.encode("utf-8", "surrogatepass")) << BITS | every | FREE * (i in free) | SOFT * (i in soft) for i, x in enumerate(lines)])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["page_id", "h", "lines"])
 
 
-def _deleted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def decided(own: Sequence[int], other: Sequence[int], second: Sequence[int] | None) -> list[int]:
+    """What the differencing changes of a page: lines that it deletes, and, as -1 - line, those that it brings back."""
+    free, soft = ({i for i, x in enumerate(own) if x & bit} for bit in (FREE, SOFT))
+    mine, theirs = ([x >> BITS for x in page] for page in (own, other))
+    shared = set(shared_lines(mine, theirs))
+    if len(shared) >= NEAR_COPY * max(len(mine), len(theirs)):
+        shared &= set(shared_lines(mine, [x >> BITS for x in second])) if second is not None else set()
+    lost = free & shared
+    lost = set() if lost == free and own[0] & EVERY else lost
+    return sorted([*lost, *(-1 - i for i in soft - shared)])
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for own, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            free = {i for i, x in enumerate(own) if x & 1}
-            lost = free & set(shared_lines([x >> 2 for x in own], [x >> 2 for x in other])) if free else set()
-            out.append([] if lost == free and own[0] & 2 else sorted(lost))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["page_id", "h", "deleted"])
+        out = [decided(*pages) for pages in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["page_id", "h", "changed"])
+
+
+def main_text(html: str | None, changed: Sequence[int]) -> str:
+    lines, gone = page_lines(html), set(changed)
+    stay, _, soft = candidates(lines)
+    kept = [i for i in stay if i not in gone] + [i for i in soft if -1 - i in gone]
+    return " ".join(lines[i].text for i in sorted(kept))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for html, deleted in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
-            lines, gone = page_lines(html.as_py()), set(deleted or ())
-            texts.append(" ".join(lines[i].text for i in candidates(lines)[0] if i not in gone))
+        texts = [main_text(html.as_py(), changed or ()) for html, changed in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -289,14 +356,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     near = neighbours(keys, ["host", "path", "id", "h"], parts)
     far = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.levenshtein(F.col("path"), F.col(f"{c}.path")))
     near = near.withColumn("_n", far("next")).withColumn("_p", far("prev"))
-    partner = F.when(F.col("_n").isNotNull() & (F.col("_p").isNull() | (F.col("_n") <= F.col("_p"))), F.col("next.h")).when(F.col("_p").isNotNull(), F.col("prev.h"))
-    pairs = near.select("h", partner.alias("other")).where("other IS NOT NULL")
+    after = F.col("_n").isNotNull() & (F.col("_p").isNull() | (F.col("_n") <= F.col("_p")))
+    partner = F.when(after, F.col("next.h")).when(F.col("_p").isNotNull(), F.col("prev.h"))
+    other = F.when(after & F.col("_p").isNotNull(), F.col("prev.h")).when(~after & F.col("_n").isNotNull(), F.col("next.h"))
+    pairs = near.select("h", partner.alias("other"), other.alias("second")).where("other IS NOT NULL")
     one = lines.groupBy("h").agg(F.first("page_id").alias("page_id"), F.first("lines").alias("lines"))
-    some = one.where(F.exists("lines", lambda x: x % 2 == 1))
+    some = one.where(F.exists("lines", lambda x: x.bitwiseAND(FREE | SOFT) != 0))
     both = pairs.join(some, "h").join(one.select(F.col("h").alias("other"), F.col("lines").alias("theirs")), "other")
-    deleted = both.select("page_id", "h", "lines", "theirs").mapInArrow(_deleted, f"page_id {kind}, h long, deleted array<int>")
-    deleted = saved(deleted.where(F.size("deleted") > 0)).select(F.col("h").alias("_h"), "deleted")
-    full = rows.join(hinted(deleted, 100_000), F.col("h") == F.col("_h"), "left").select("page_id", "url", "html", "deleted")
+    both = both.join(one.select(F.col("h").alias("second"), F.col("lines").alias("seconds")), "second", "left")
+    changed = both.select("page_id", "h", "lines", "theirs", "seconds").mapInArrow(_decided, f"page_id {kind}, h long, changed array<int>")
+    changed = saved(changed.where(F.size("changed") > 0)).select(F.col("h").alias("_h"), "changed")
+    full = rows.join(hinted(changed, 100_000), F.col("h") == F.col("_h"), "left").select("page_id", "url", "html", "changed")
     return full.mapInArrow(_texts, f"page_id {kind}, url string, text string, n_chars long")
 
 
