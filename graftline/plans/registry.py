@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import file_queries, format_queries, graph_queries, queries  # noqa: F401 (importing registers its queries)
+from . import building_queries, file_queries, format_queries, graph_queries, queries  # noqa: F401 (importing registers its queries)
 
 QUERIES = dict(queries.QUERIES)
 ORACLE_SQL = dict(queries.ORACLE_SQL)
