@@ -92,12 +92,22 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, near): the pairs of words, both ways, that one edit makes equal.
 
     Pairs of one length join on bigram, place and length; a shorter word looks for a longer one at the same place or the next.
+    An edit leaves what is before or what is behind the shorter word's middle as it is, so hashes of these halves, for either role of
+    the second word, spare most candidates the edit distance, which decides on the rest.
     """
     rare = saved(rare_bigrams(words))
-    left = rare.select(F.col("word").alias("a"), F.col("size"), F.col("gram"), F.col("at"), F.lit(0).alias("more"))
-    longer = rare.select(F.col("word").alias("a"), (F.col("size") + 1).alias("size"), "gram", F.explode(F.array("at", F.col("at") + 1)).alias("at"), F.lit(1).alias("more"))
-    right = rare.select(F.col("word").alias("b"), "size", "gram", "at")
-    near = (F.levenshtein("a", "b", 1) == 1) & ((F.col("more") == 1) | (F.col("a") < F.col("b")))
+    half = F.floor(F.col("size") / 2).cast("int")
+    short_half = F.floor((F.col("size") - 1) / 2).cast("int")
+    part = lambda c, start, n: F.hash(F.substring(c, start, n))
+    own = [part(F.col("word"), F.lit(1), half).alias("head"), part(F.col("word"), half + 1, F.col("size")).alias("rest")]
+    left = rare.select(F.col("word").alias("a"), F.col("size"), F.col("gram"), F.col("at"), F.lit(0).alias("more"), *own)
+    longer = rare.select(F.col("word").alias("a"), (F.col("size") + 1).alias("size"), "gram", F.explode(F.array("at", F.col("at") + 1)).alias("at"), F.lit(1).alias("more"), *own)
+    same = F.struct(*own)
+    grown = F.struct(part(F.col("word"), F.lit(1), short_half).alias("head"), part(F.col("word"), short_half + 2, F.col("size")).alias("rest"))
+    right = rare.select(F.col("word").alias("b"), "size", "gram", "at", F.array(same, grown).alias("parts"))
+    role = F.col("parts")[F.col("more")]
+    halves = (role["head"] == F.col("head")) | (role["rest"] == F.col("rest"))
+    near = halves & ((F.col("more") == 1) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
     found = left.union(longer).hint("merge").join(right, ["gram", "at", "size"]).where(near).select("a", "b").distinct()
     return found.select(F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near")), F.struct(F.col("b").alias("word"), F.col("a").alias("near")))).alias("p")).select("p.word", "p.near")
 
