@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..operators import bridges as BR
 from ..operators import relations as R
-from ..sources import sinks, text
+from ..sources import bam, sinks, text
 from . import bindings as B
 from .file_queries import _folder
 from .queries import Frame, Spark, query
@@ -164,3 +164,27 @@ def length_ranks(spark: Spark, sf: str) -> Frame:
     by = Window.partitionBy("brand").orderBy(F.desc("length"))
     ranks = [F.rank().over(by).cast("long").alias("rank"), F.dense_rank().over(by).cast("long").alias("dense"), F.percent_rank().over(by).alias("share")]
     return B.cov(spark, sf).select("node", "brand", *ranks, F.first("length").over(by).alias("longest_first"))
+
+
+BAM_ROWS = """bam_rows AS (
+  SELECT 'o' || l_orderkey || '/' || l_linenumber AS qname, CAST(l_linenumber * 16 AS INTEGER) AS flag, 's' || l_suppkey % 50 AS rname, CAST(l_partkey AS BIGINT) AS pos, CAST(l_suppkey % 61 AS INTEGER) AS mapq,
+    CAST(l_quantity AS BIGINT) || 'M' AS cigar, CASE WHEN l_returnflag = 'N' THEN '*' ELSE 's' || l_partkey % 50 END AS rnext, CAST(l_orderkey % 1000 AS BIGINT) AS pnext, CAST(l_orderkey - l_partkey AS BIGINT) AS tlen,
+    substr(repeat('GATTACAN', 8), 1, CAST(l_quantity AS INTEGER)) AS seq, CASE WHEN l_linestatus = 'F' THEN '*' ELSE repeat('I', CAST(l_quantity AS INTEGER)) END AS qual,
+    'NM:I:' || l_linenumber || chr(9) || 'RG:Z:' || l_returnflag || l_linestatus AS tags FROM lineitem)"""
+
+
+@query(f"WITH {BAM_ROWS} SELECT * FROM bam_rows")
+def bam_round_trip(spark: Spark, sf: str) -> Frame:
+    """All sold items as alignments, written as BAM files and read back in ranges of compressed bytes."""
+    li = B.read(spark, sf, "lineitem")
+    n = F.col("l_quantity").cast("int")
+    rows = li.select(
+        F.concat(F.lit("o"), "l_orderkey", F.lit("/"), "l_linenumber").alias("qname"), (F.col("l_linenumber") * 16).cast("int").alias("flag"), F.concat(F.lit("s"), F.col("l_suppkey") % 50).alias("rname"),
+        F.col("l_partkey").cast("long").alias("pos"), (F.col("l_suppkey") % 61).cast("int").alias("mapq"), F.concat(n.cast("string"), F.lit("M")).alias("cigar"),
+        F.when(F.col("l_returnflag") == "N", F.lit("*")).otherwise(F.concat(F.lit("s"), F.col("l_partkey") % 50)).alias("rnext"), (F.col("l_orderkey") % 1000).cast("long").alias("pnext"),
+        (F.col("l_orderkey") - F.col("l_partkey")).cast("long").alias("tlen"), F.substring(F.repeat(F.lit("GATTACAN"), F.lit(8)), F.lit(1), n).alias("seq"),
+        F.when(F.col("l_linestatus") == "F", F.lit("*")).otherwise(F.repeat(F.lit("I"), n)).alias("qual"), F.concat(F.lit("NM:I:"), "l_linenumber", F.lit("\tRG:Z:"), "l_returnflag", "l_linestatus").alias("tags"),
+    )
+    path = _folder(spark, "bam")
+    bam.write_bam(rows, path, [(f"s{i}", 1 << 28) for i in range(50)])
+    return bam.read_bam(spark, path, 1_000_000).drop("file", "block", "at", "next_block", "next_at")
