@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, fresh, saved, table, without
 
 KEY = ("digest", "n_bytes", "guard")
-#: 2**LEVELS runs, merged 2**FAN_IN at a time.
-LEVELS, FAN_IN = 6, 3
+#: 2**LEVELS runs at least, and so many more that a run has about RUN_ROWS rows; merged 2**FAN_IN at a time.
+LEVELS, FAN_IN, RUN_ROWS = 6, 3, 2_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -35,18 +35,21 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def leaf_rows(docs: DataFrame, id_col: str, text_col: str, levels: int) -> DataFrame:
-    """(id, run, home, digest, n_bytes, guard) of every row: the only pass over the texts. Home is the digest's last run."""
+def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, digest, n_bytes, guard) of every row: the only pass over the texts."""
     rows = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
-    sha = F.sha2("norm", 256)
-    return rows.select(
-        "id",
-        F.pmod(F.xxhash64("id"), F.lit(1 << levels)).cast("int").alias("run"),
-        F.pmod(F.conv(F.substring(sha, 1, 8), 16, 10).cast("long"), F.lit(1 << levels)).cast("int").alias("home"),
-        F.unhex(sha).alias("digest"),
-        F.octet_length("norm").alias("n_bytes"),
-        F.xxhash64("norm").alias("guard"),
-    )
+    return rows.select("id", F.unhex(F.sha2("norm", 256)).alias("digest"), F.octet_length("norm").alias("n_bytes"), F.xxhash64("norm").alias("guard"))
+
+
+def levels_for(rows: int) -> int:
+    """How many levels of runs so many rows take."""
+    return max(LEVELS, (max(0, rows - 1) // RUN_ROWS).bit_length())
+
+
+def leaf_rows(rows: DataFrame, levels: int) -> DataFrame:
+    """rows with the run that they are dealt to by their identifier, and with home, the last run of their digest."""
+    first = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    return rows.select("id", F.pmod(F.xxhash64("id"), F.lit(1 << levels)).cast("int").alias("run"), F.pmod(first, F.lit(1 << levels)).cast("int").alias("home"), *KEY)
 
 
 def sorted_runs(entries: DataFrame) -> DataFrame:
@@ -88,14 +91,16 @@ def tree_merge(rows: DataFrame, levels: int, fan_in: int) -> tuple[DataFrame, Da
     return leaves, runs
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels: int = LEVELS, fan_in: int = FAN_IN) -> DataFrame:
-    """One row for every row of docs: id, keep_id, group_size, kept, digest.
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
+    """One row for every row of docs: id, keep_id, group_size, kept, digest. Without `levels` there are as many as the counted rows take.
 
     The result travels down the way it came up: from the last runs to the leaf runs, then from
     each leaf run to its own rows, so no join key has more than 2**levels entries or one
     leaf's share of a group.
     """
-    rows = saved(leaf_rows(docs, id_col, text_col, levels))
+    found = saved(digests(docs, id_col, text_col))
+    levels = levels_for(found.count()) if levels is None else levels
+    rows = leaf_rows(found, levels)
     leaves, last = tree_merge(rows, levels, fan_in)
     last = last.select(*KEY, F.col("keep_id").alias("root_id"), F.col("n").alias("group_size"))
     down = leaves.select("run", *KEY).join(last, list(KEY))

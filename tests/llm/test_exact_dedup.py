@@ -37,7 +37,7 @@ def test_groups_equal_brute_force(spark, levels, fan_in):
 
 def test_rounds_deal_runs_by_digest(spark):
     rows = [(i, "hot" if i % 3 else f"t{i}") for i in range(400)]
-    leaf = ed.leaf_rows(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 4).cache()
+    leaf = ed.leaf_rows(ed.digests(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"), 4).cache()
     leaves, last = ed.tree_merge(leaf, 4, 2)
     hot = lambda df: df.where("n_bytes = 3 AND n > 1").count()
     assert hot(leaves) == 16 and hot(last) == 1
@@ -59,3 +59,7 @@ def test_dedup_keeps_columns_and_repeated_identifiers(spark):
     assert sorted((r.doc_id, r.text, r.source) for r in out.collect() if r.doc_id) == [(1, "a", "p"), (3, None, "r"), (5, "b", "t"), (5, "c", "t")]
     assert [r.text for r in out.where("doc_id IS NULL").collect()] == ["z"]
     assert sorted(r.doc_id for r in ed.exact_dedup(docs.where("doc_id < 5")).collect()) == [1, 3]
+
+
+def test_levels_follow_the_rows():
+    assert [ed.levels_for(n) for n in (0, 1, 64 * ed.RUN_ROWS, 64 * ed.RUN_ROWS + 1, 1000 * ed.RUN_ROWS)] == [6, 6, 6, 7, 10]
