@@ -114,22 +114,62 @@ def acyclic_layers(graph: DataFrame) -> DataFrame:
     return every.join(taken, "end", "left") if taken is not None else every.withColumn("layer", F.lit(None).cast("int"))
 
 
+def _followed(ways: DataFrame, longest: int) -> DataFrame:
+    """ways (u, v, w, c): what lies behind u is max(c, w + what lies behind v); each followed by doubling to where no way leads on.
+
+    Two such steps are one step of the same kind. A ring of ways has no end; its members stop when they are longer than all ways together.
+    """
+    state, size = ways, 1
+    while True:
+        on = state.select(F.col("u").alias("v"), F.col("v").alias("_v"), F.col("w").alias("_w"), F.col("c").alias("_c"))
+        new = saved(
+            state.join(hinted(on), "v", "left").select(
+                "u", F.coalesce("_v", "v").alias("v"), (F.col("w") + F.coalesce("_w", F.lit(0.0))).alias("w"), F.greatest("c", F.col("_c") + F.col("w")).alias("c"), F.col("_v").isNotNull().alias("moved")
+            )
+        )
+        state, size = new.drop("moved"), size * 2
+        if size > 2 * longest or new.where("moved").isEmpty():
+            return state
+
+
 def depths(nodes: DataFrame, graph: DataFrame) -> DataFrame:
     """(end, depth): the longest total length behind each oriented node, infinite where a cycle is reached.
 
-    Layers are solved from the sinks on; a node's followers all have lower layers.
+    A node with one way on is skipped over: all of them at once, by doubling. What that leaves in parallel becomes one arc, and
+    nodes whose followers are all known are solved. So a chain takes two rounds, as does a chain of bubbles, however long they are, and in general
+    a graph takes as many rounds as branches lie inside each other; a round has a few doublings. Nodes that no round solves reach a cycle.
     """
-    layers = saved(acyclic_layers(graph))
-    top = layers.agg(F.max("layer")).first()[0]
-    known = layers.where("layer IS NULL").select("end", F.lit(float("inf")).alias("depth"))
-    known = known.unionByName(layers.where("layer = 0").select("end", F.lit(0.0).alias("depth")))
     lengths = nodes.select(F.col("node").alias("_n"), "length")
-    for layer in range(1, (top or 0) + 1):
-        now = layers.where(F.col("layer") == layer).select(F.col("end").alias("u"))
-        step = graph.join(now, "u").join(known.withColumnRenamed("end", "v"), "v").join(lengths, P.bare(F.col("v")) == F.col("_n"))
-        known = saved(known.unionByName(step.groupBy(F.col("u").alias("end")).agg(F.max(F.col("depth") + F.col("length") - F.col("overlap")).cast("double").alias("depth"))))
-    alone = ends(nodes).join(known, "end", "left_anti").select("end", F.lit(0.0).alias("depth"))
-    return known.unionByName(alone)
+    weighed = graph.join(lengths, P.bare(F.col("v")) == F.col("_n")).select("u", "v", (F.col("length") - F.col("overlap")).cast("double").alias("w"))
+    left = saved(weighed.groupBy("u", "v").agg(F.max("w").alias("w")))
+    every = ends(nodes).select("end").union(graph.select(F.col("u").alias("end"))).union(graph.select(F.col("v").alias("end"))).distinct()
+    # c: the most that lies behind along ways that are known to their end
+    state = saved(every.join(left.select(F.col("u").alias("end")).distinct().withColumn("open", F.lit(True)), "end", "left").select("end", F.when(F.col("open").isNull(), F.lit(0.0)).alias("c")))
+    skipped = []  # nodes that were skipped over, with their way; solved from the last round to the first
+    while not left.isEmpty():
+        # nodes without a way on are solved; ways to them are known
+        solved = state.join(left.select(F.col("u").alias("end")).distinct(), "end", "left_anti").select("end", F.col("c").alias("depth"))
+        told = left.join(solved.withColumnRenamed("end", "v"), "v").groupBy(F.col("u").alias("end")).agg(F.max(F.col("depth") + F.col("w")).alias("told"))
+        new_state = saved(state.join(told, "end", "left").select("end", F.greatest("c", "told").alias("c")))
+        rest = saved(left.join(solved.select(F.col("end").alias("v")), "v", "left_anti"))
+        single = rest.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.first("v").alias("v"), F.first("w").alias("w")).where("n = 1")
+        ways = saved(single.join(new_state.withColumnRenamed("end", "u"), "u").select("u", "v", "w", "c"))
+        followed = saved(_followed(ways, max(1, ways.count())))
+        skipped.append(followed)
+        over = followed.select(F.col("u").alias("v"), F.col("v").alias("_v"), F.col("w").alias("_w"), F.col("c").alias("_c"))
+        branching = rest.join(ways.select("u"), "u", "left_anti").join(hinted(over), "v", "left")
+        gained = branching.groupBy(F.col("u").alias("end")).agg(F.max(F.col("_c") + F.col("w")).alias("gained"))
+        kept = new_state.join(followed.select(F.col("u").alias("end")), "end", "left_anti")
+        state_next = saved(kept.join(gained, "end", "left").select("end", F.greatest("c", "gained").alias("c")))
+        left_next = saved(branching.groupBy("u", F.coalesce("_v", "v").alias("v")).agg(F.max(F.col("w") + F.coalesce("_w", F.lit(0.0))).alias("w")))
+        if followed.isEmpty() and left_next.count() == left.count():
+            break
+        state, left = state_next, left_next
+    known = saved(state.join(left.select(F.col("u").alias("end")).distinct(), "end", "left_anti").select("end", F.col("c").alias("depth")))
+    for ways in reversed(skipped):
+        ended = ways.join(known.withColumnRenamed("end", "v"), "v").select(F.col("u").alias("end"), F.greatest("c", F.col("depth") + F.col("w")).alias("depth"))
+        known = saved(known.unionByName(ended))
+    return every.join(known, "end", "left").select("end", F.coalesce("depth", F.lit(float("inf"))).alias("depth"))
 
 
 def reached(start: DataFrame, graph: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +52,37 @@ def test_untip(spark):
     assert (d[">p"], d[">q"], d[">r"], d["<r"]) == (6, 4, 0, 3)
 
 
+def test_depths_equal_brute_force(spark):
+    """Random graphs with cycles, parallel ways and overlaps, and bubbles in a row."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        names = [f"n{i}" for i in range(14)]
+        length = {x: rng.randint(1, 9) for x in names}
+        pairs_ = {(f"{rng.choice('><')}{rng.choice(names)}", f"{rng.choice('><')}{rng.choice(names)}") for _ in range(9 + 2 * seed)}
+        graph = links(spark, *sorted(pairs_))
+        follow = {}
+        for u, v in pairs(graph, "u", "v"):
+            follow.setdefault(u, []).append(v)
+
+        def deep(x, above, follow=follow, length=length):
+            if x in above:
+                return float("inf")
+            return max((deep(v, {*above, x}) + length[v[1:]] for v in follow.get(x, ())), default=0.0)
+
+        got = dict(pairs(G.depths(nodes(spark, **length), graph), "end", "depth"))
+        assert got == {o + x: deep(o + x, set()) for x in names for o in "><"}
+
+
+def test_depths_of_long_chains_take_few_rounds(spark, monkeypatch):
+    n, times = 2000, []
+    monkeypatch.setattr(G, "saved", lambda df, keep=G.saved: times.append(1) or keep(df))
+    rows = [(f">c{i}", f">c{i + 1}", 0) for i in range(n)] + [(f">c{i}", f">d{i}", 0) for i in range(0, n, 7)] + [(f">d{i}", f">c{i + 1}", 0) for i in range(0, n, 7)]
+    graph = spark.createDataFrame(rows, "u string, v string, overlap int")
+    sizes = spark.createDataFrame([(f"c{i}", 2) for i in range(n + 1)] + [(f"d{i}", 3) for i in range(0, n, 7)], "node string, length long")
+    got = dict(pairs(G.depths(sizes, graph), "end", "depth"))
+    assert got[">c0"] == 2 * n + 3 * len(range(0, n, 7)) and got[f">c{n}"] == 0 and got["<c5"] == 0 and len(times) < 60
+
+
 def test_unitigs_of_chains_branches_and_cycles(spark):
     n = nodes(spark, **{k: 1 for k in "abcdexyz"}, lone=1)
     g = links(spark, (">a", ">b"), (">b", "<c"), ("<c", ">d"), ("<c", ">e"), (">x", ">y"), (">y", ">z"), (">z", ">x"))
