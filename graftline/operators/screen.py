@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import intervals as I
 from .graph import neighbours_within
+from .mapping import BAND, align
 
 
 def disconnected(nodes: DataFrame, links: DataFrame, length: str, most: int) -> DataFrame:
@@ -64,12 +65,42 @@ def end_overlap(seq: str, least: int, most: int) -> int:
     return int(fail[-1]) if len(text) > 1 and fail[-1] >= least else 0
 
 
-def circularised(contigs: DataFrame, least: int = 50, most: int = 20_000) -> DataFrame:
-    """contigs (node, seq) with their repeated end cut off once, and `overlap`."""
+def aligned_overlap(seq: str, least: int, most: int, identity: float, k: int = 16) -> int:
+    """The longest overlap between the end and the start of a sequence in which at least this share of columns is equal.
+
+    k-mers from the start that occur in the end tell where overlaps can begin; the end from there is aligned to the start in a
+    band, gaps at either side not counted. An overlap needs one such k-mer in its first `least` bases.
+    """
+    n = len(seq)
+    window = min(most, n // 2)
+    head, tail = seq[:window], seq[n - window :]
+    begins: set[int] = set()
+    for h in range(0, max(1, min(least, window) - k + 1)):
+        at = tail.find(head[h : h + k]) if h + k <= window else -1
+        while at >= 0:
+            begins.add(at - h)
+            at = tail.find(head[h : h + k], at + 1)
+    tried: list[int] = []
+    for begin in sorted(begins):
+        if tried and begin - tried[-1] <= BAND // 2:  # the same place, moved by a gap
+            continue
+        tried.append(begin)
+        begin = max(0, begin)
+        end = tail[begin:]
+        ops = align(np.frombuffer(end.encode(), np.uint8), np.frombuffer(head[: len(end)].encode(), np.uint8))[3]
+        lead = len(ops) - len(ops.lstrip("I"))
+        inner = ops.strip("ID")
+        if len(end) - lead >= least and inner and inner.count("=") >= identity * len(inner):
+            return len(end) - lead
+    return 0
+
+
+def circularised(contigs: DataFrame, least: int = 50, most: int = 20_000, identity: float = 1.0) -> DataFrame:
+    """contigs (node, seq) with their repeated end cut off once, and `overlap`; below an identity of 1 overlaps are found by alignment."""
 
     def run(batches):
         for batch in batches:
-            cut = [end_overlap(s, least, most) for s in batch["seq"]]
+            cut = [(end_overlap(s, least, most) or aligned_overlap(s, least, most, identity)) if identity < 1 else end_overlap(s, least, most) for s in batch["seq"]]
             yield pd.DataFrame({"node": batch["node"], "seq": [s[: len(s) - c] for s, c in zip(batch["seq"], cut, strict=True)], "overlap": cut})
 
     return contigs.select("node", "seq").mapInPandas(run, "node string, seq string, overlap long")
