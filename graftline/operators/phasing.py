@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import random
 from collections import defaultdict
 
@@ -159,14 +160,21 @@ def bisect(names: list[str], weight: dict[tuple[str, str], float], seed: int, fi
     for _ in range(passes):
         gain = {n: sum(w if side[n] != side[m] else -w for m, w in near[n].items()) for n in names}
         free, total, best, moved, keep = set(names), 0.0, 0.0, [], 0
+        # the largest gain, then the first name; entries of nodes that have moved or gained since are passed over
+        order = [(-g, n) for n, g in gain.items()]
+        heapq.heapify(order)
         while free:
-            n = max(sorted(free), key=lambda x: gain[x])
+            g, n = heapq.heappop(order)
+            if n not in free or -g != gain[n]:
+                continue
             free.discard(n)
             total += gain[n]
             moved.append(n)
             side[n] ^= 1
             for m, w in near[n].items():
                 gain[m] += -2 * w if side[m] == side[n] else 2 * w
+                if m in free:
+                    heapq.heappush(order, (-gain[m], m))
             if total > best + 1e-9:
                 best, keep = total, len(moved)
         for n in moved[keep:]:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import gzip
 import lzma
 
@@ -289,3 +291,19 @@ def test_sinks(spark, tmp_path):
     assert pairs(text.layouts(spark, str(tmp_path / "l")), "tig", "read", "bgn", "end") == [("c", "r", 5, 1)]
     moved = sinks.shifted_references(table(spark, "ref string, at long", ("x", 3)), table(spark, "scaffold string, ordinal int, piece string, length long", ("s", 0, "w", 10), ("s", 1, None, 5), ("s", 2, "x", 9)))
     assert pairs(moved, "ref", "at") == [("s", 18)]
+
+
+def test_bisection_finds_the_best_of_all_bipartitions(spark):
+    rng = random.Random(12)
+    rows, nodes_, want = [], [], {}
+    for c in range(8):
+        names = [f"c{c}n{i}" for i in range(rng.randint(2, 9))]
+        weight = {(a, b): float(rng.randint(-9, 9)) for i, a in enumerate(names) for b in names[i + 1 :] if rng.random() < 0.6}
+        nodes_ += [(f"c{c}", n) for n in names]
+        rows += [(a, b, w) for (a, b), w in weight.items()]
+        inside = lambda bits, names=names, weight=weight: sum(w for (a, b), w in weight.items() if bits >> names.index(a) & 1 == bits >> names.index(b) & 1)
+        want[f"c{c}"] = max(inside(bits) for bits in range(1 << len(names)))
+    found = PH.phased(spark.createDataFrame(nodes_, "component string, node string"), spark.createDataFrame(rows, "a string, b string, w double"), seeds=20).collect()
+    side = {r.node: r.side for r in found}
+    got = {c: sum(w for a, b, w in rows if a.startswith(f"{c}n") and side[a] == side[b]) for c in want}
+    assert got == want and set(side) == {n for _, n in nodes_}
