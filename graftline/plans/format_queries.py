@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..operators import bridges as BR
 from ..operators import relations as R
-from ..sources import bam, sinks, text
+from ..sources import bam, overlaps, sinks, text
 from . import bindings as B
 from .file_queries import _folder
 from .queries import Frame, Spark, query
@@ -188,3 +188,14 @@ def bam_round_trip(spark: Spark, sf: str) -> Frame:
     path = _folder(spark, "bam")
     bam.write_bam(rows, path, [(f"s{i}", 1 << 28) for i in range(50)])
     return bam.read_bam(spark, path, 1_000_000).drop("file", "block", "at", "next_block", "next_at")
+
+
+@query("""WITH o AS (SELECT l_orderkey AS a, l_partkey + 10000000 AS b, CAST(l_quantity AS BIGINT) AS n FROM lineitem)
+SELECT a, count(*) AS overlaps, sum(n)::BIGINT AS bases, max(b) AS last FROM (SELECT * FROM o UNION ALL SELECT b, a, n FROM o) GROUP BY a""")
+def overlap_store(spark: Spark, sf: str) -> Frame:
+    """Sold items as overlaps of orders with parts, kept in a store and read back from it: the overlaps of each read."""
+    li = B.read(spark, sf, "lineitem")
+    both = overlaps.mirrored(li.select(F.col("l_orderkey").alias("a"), (F.col("l_partkey") + 10_000_000).alias("b"), F.col("l_quantity").cast("long").alias("n")))
+    path = _folder(spark, "overlaps")
+    overlaps.write_overlaps(both, path)
+    return overlaps.overlaps_of(spark, path, 0).groupBy("a").agg(F.count(F.lit(1)).alias("overlaps"), F.sum("n").alias("bases"), F.max("b").alias("last"))
