@@ -6,8 +6,8 @@ place from which `CHAINED` records in a row (or all up to the end) are well form
 its range, the last one to its end beyond it. Every row says between which places (block and place in it) it lies, and `unbroken` holds
 the tasks of a file against each other: each record has to begin where the one before it ends.
 
-The sink writes one file for each task, all with the same header, under a temporary name that the driver's commit changes; what a
-failed or repeated task leaves is removed. Files are read and written through pyarrow's file systems, so paths of any store that these know will do.
+The sink writes one file for each task, all with the same header, under a hidden name that the driver's commit changes; what a
+failed or repeated attempt leaves stays hidden and is not read. Files are read and written through pyarrow's file systems, so paths of any store that these know will do.
 
 Rows have the columns of a SAM line: qname, flag, rname, pos (from 1, 0: none), mapq, cigar, rnext (as a name, never =), pnext, tlen, seq, qual, tags.
 `*` stands for what is not there. An empty file has no rows; a damaged block is an error that names the file and the place.
