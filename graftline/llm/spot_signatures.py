@@ -38,7 +38,7 @@ ANCHORS = (
 
 def words(text: Column) -> Column:
     """Runs of letters and digits, in lower case."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def short_hash(*parts: Column) -> Column:
@@ -49,39 +49,40 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     """The ordered set of signatures.
 
     The content words before an anchor are its position less the number of anchors before it,
-    so each anchor finds its chain by one slice of the array of content words.
+    so each anchor finds its chain in the array of content words. Anchors with too few content
+    words behind them are the last ones, so leaving them out changes no other's number.
     """
     common = lambda w: w.isin(*ANCHORS)
+    # Lambdas are interpreted for every word: positions go through without structs, and chains without slices.
+    behind = lambda w, i: [F.get(w, i + j) for j in range(chain)]
 
     def split(w: Column) -> Column:
-        places = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda p: common(p["w"]))
+        places = F.array_remove(F.transform(w, lambda x, i: F.when(common(x), i).otherwise(-1)), -1)
         return F.struct(w.alias("w"), places.alias("places"), F.filter(w, lambda x: ~common(x)).alias("content"))
 
-    def chained(s: Column) -> Column:
-        hashes = F.transform(s["places"], lambda p, k: F.when(p["i"] - k <= F.size(s["content"]) - chain, short_hash(p["w"], F.slice(s["content"], p["i"] - k + 1, chain))))
-        return F.struct(s["w"].alias("w"), F.filter(hashes, lambda h: h.isNotNull()).alias("found"))
-
     def chosen(s: Column) -> Column:
-        w = s["w"]
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - chain + 1)), lambda i: short_hash(F.slice(w, i, chain)))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.concat(s["found"], grams))
+        w, content = s["w"], s["content"]
+        full = F.filter(s["places"], lambda p, k: p - k <= F.size(content) - chain)
+        found = F.transform(full, lambda p, k: short_hash(F.get(w, p), *behind(content, p - k)))
+        starts = F.slice(w, 1, F.greatest(F.lit(1), F.size(w) - chain + 1))
+        return F.concat(found, F.transform(starts, lambda _, i: short_hash(*behind(w, i))))
 
     # Arrays of one element hand each step's result on, so that nothing is computed for every anchor anew.
     steps = F.array(words(text))
-    for step in (split, chained, chosen):
+    for step in (split, chosen):
         steps = F.transform(steps, step)
-    return F.array_sort(F.array_distinct(F.element_at(steps, 1)))
+    return F.sort_array(F.array_distinct(F.element_at(steps, 1)))
 
 
 def fingerprint(signs: Column) -> Column:
     """The signatures as text: hexadecimal numbers with a space between."""
-    return F.array_join(F.transform(signs, lambda h: F.lower(F.hex(h))), " ")
+    return F.lower(F.array_join(F.transform(signs, F.hex), " "))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard index; 1 for two empty sets."""
-    both = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - both
+    union = F.size(F.array_union(a, b))
+    both = F.size(a) + F.size(b) - union
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
 

@@ -96,3 +96,18 @@ def test_an_identifier_with_two_texts_keeps_both_links(spark):
     members, pairs = spot.near_pairs(spark.createDataFrame(rows, "doc_id long, text string, key string"))
     assert sorted((r.a, r.b) for r in pairs.collect()) == [(8, 20), (8, 30)]
     assert sorted(map(tuple, members.collect())) == [(8, 8), (8, 8), (20, 20), (30, 30)]
+
+
+def test_signatures_are_sorted_and_chained_without_work_for_every_comparison(spark):
+    """Interpreted comparators and slices for every word took most of the query's CPU time."""
+    docs = spark.createDataFrame([(t,) for t in (*texts(20), None, "", "the", "x", "of the x")], "text string")
+    signed = docs.select("text", *[spot.signatures(F.col("text"), c).alias(f"chain{c}") for c in (1, 2, 3)])
+    for r in signed.collect():
+        for signs in r[1:]:
+            assert signs == sorted(set(signs)) and None not in signs
+        assert len(r.chain2) == len(brute(r.text))
+    # Sorted as plain numbers: no nulls among them, and no comparator.
+    assert not any(signed.schema[f"chain{c}"].dataType.containsNull for c in (1, 2, 3))
+    plan = signed.select("chain2")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
+    assert plan.count("slice(") == 1  # of the words, once for a text
