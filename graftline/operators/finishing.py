@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
 from ..functions import sequences as S
+from . import building as BD
 from . import intervals as I
 from .gaps import cut_nodes
 from .graph import bounded_distances, lineage_leaves, tangles
@@ -245,26 +251,107 @@ def homozygous_groups(links: DataFrame) -> DataFrame:
 
 
 def minimizers(reads: DataFrame, k: int = 15, w: int = 10) -> DataFrame:
-    """(read, pos, kmer): of every w neighbouring canonical k-mers the one with the smallest hash, leftmost."""
-    def hashed(kmer: Column) -> Column:
-        return F.transform(kmer, lambda x, i: F.struct(F.xxhash64(S.canonical_kmer(x)).alias("h"), i.alias("i"), S.canonical_kmer(x).alias("x")))
-
-    def smallest(s: Column) -> Column:
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(s) - (w - 1)), lambda i: F.array_min(F.slice(s, i, w))))
-
-    # An array of one element hands the k-mers on, so that they are made once and not for every window.
-    picked = F.element_at(F.transform(F.transform(S.windows(F.array("seq"), k), hashed), smallest), 1)
-    rows = reads.where(F.length("seq") >= k + w - 1).select("read", F.explode(picked).alias("m"))
-    return rows.select("read", F.col("m.i").alias("pos"), F.col("m.x").alias("kmer"))
+    """(read, pos, kmer): of every w neighbouring canonical k-mers the one with the smallest hash, leftmost. Hashes are Spark's xxhash64, in arrays of many reads."""
+    rows = reads.where(F.length("seq") >= k + w - 1).select("read", "seq")
+    return rows.mapInArrow(lambda it: _minimal(it, k, w), f"read {reads.schema['read'].dataType.simpleString()}, pos int, kmer string")
+
+
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turn(x: np.ndarray, n: int) -> np.ndarray:
+    return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+
+def xxhash64(text: np.ndarray, seed: int = 42) -> np.ndarray:
+    """Spark's xxhash64 of each row of bytes."""
+    n, k = text.shape
+    words = np.ascontiguousarray(text[:, : k // 8 * 8]).view("<u8").astype(np.uint64)
+    mixed = lambda x: _turn(x * _P2, 31) * _P1
+    at, zero = 0, np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        s = np.uint64(seed)
+        if k >= 32:
+            lanes = [zero + x for x in (s + _P1 + _P2, s + _P2, s, s - _P1)]
+            while at + 4 <= k // 8:
+                lanes = [_turn(v + words[:, at + j] * _P2, 31) * _P1 for j, v in enumerate(lanes)]
+                at += 4
+            h = _turn(lanes[0], 1) + _turn(lanes[1], 7) + _turn(lanes[2], 12) + _turn(lanes[3], 18)
+            for v in lanes:
+                h = (h ^ mixed(v)) * _P1 + _P4
+        else:
+            h = zero + s + _P5
+        h = h + np.uint64(k)
+        # whole words that the lanes have left, half a word, bytes
+        for j in range(at, k // 8):
+            h = _turn(h ^ mixed(words[:, j]), 27) * _P1 + _P4
+        done = k // 8 * 8
+        if k - done >= 4:
+            half = np.ascontiguousarray(text[:, done : done + 4]).view("<u4")[:, 0].astype(np.uint64)
+            h, done = _turn(h ^ (half * _P1), 23) * _P2 + _P3, done + 4
+        for j in range(done, k):
+            h = _turn(h ^ (text[:, j].astype(np.uint64) * _P5), 11) * _P1
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+def _minimal(batches: Iterator[pa.RecordBatch], k: int, w: int) -> Iterator[pa.RecordBatch]:
+    for names, raw, begin in BD.pieces(batches, max(1, BD.SAMPLED_BASES * 11 // k)):
+        if len(raw) < k + w - 1:
+            continue
+        text = BD.canonical_text(raw, np.arange(len(raw) - k + 1), k)[0]
+        h, at = xxhash64(text), np.arange(len(text))
+        size = 1  # doubling to the smallest hash of w, the leftmost of equal ones
+        while size < w:
+            step = min(size, w - size)
+            a, b = at[:-step], at[step:]
+            at, size = np.where(h[a] <= h[b], a, b), size + step
+        length = np.diff(begin)
+        left = np.repeat(begin[1:], length) - np.arange(len(raw))
+        at = np.unique(at[left[: len(at)] >= k + w - 1])
+        of = np.repeat(np.arange(len(length)), length)[at]
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(of)), pa.array((at - begin[of]).astype(np.int32)), BD.as_strings(text[at])], names=["read", "pos", "kmer"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, shared) of rows (a, list of b), of which equal a stand together; only rows of the last a wait for the next batch."""
+
+    def counted(rows: pa.Table) -> pa.RecordBatch:
+        names, lists = rows.column(0).combine_chunks(), rows.column(1).combine_chunks()
+        run = np.r_[0, np.cumsum(pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False))].astype(np.int64)
+        others = pc.list_flatten(lists).dictionary_encode()
+        n = max(1, len(others.dictionary))
+        pairs, shared = np.unique(np.repeat(run, pc.list_value_length(lists).to_numpy(zero_copy_only=False)) * n + others.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        pairs, shared = pairs[shared >= least], shared[shared >= least]
+        first = np.r_[0, np.flatnonzero(np.diff(run)) + 1]
+        return pa.RecordBatch.from_arrays([names.take(pa.array(first[pairs // n])), others.dictionary.take(pa.array(pairs % n)), pa.array(shared.astype(np.int64))], names=["a", "b", "shared"])
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        other = pc.not_equal(batch.column(0), batch.column(0)[-1]).to_numpy(zero_copy_only=False)
+        begin = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0  # of the last a
+        if begin or (waiting and waiting[-1].column(0)[-1] != batch.column(0)[0]):
+            yield counted(pa.Table.from_batches([*waiting, batch.slice(0, begin)]))
+            waiting = []
+        waiting.append(batch.slice(begin))
+    if waiting:
+        yield counted(pa.Table.from_batches(waiting))
 
 
 def overlap_candidates(found: DataFrame, most: int = 1000, least: int = 2) -> DataFrame:
-    """(a, b, shared): reads that share at least `least` minimizers; those on more than `most` reads don't count."""
-    one = found.select("read", "kmer").distinct()
-    rare = one.groupBy("kmer").count().where((F.col("count") > 1) & (F.col("count") <= most)).select("kmer")
-    kept = one.join(rare, "kmer")
-    both = kept.select(F.col("read").alias("a"), "kmer").join(kept.select(F.col("read").alias("b"), "kmer"), "kmer").where("a < b")
-    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+    """(a, b, shared): reads that share at least `least` minimizers; those on more than `most` reads don't count.
+
+    A minimizer's reads are one list; each read takes what stands behind it in the lists that it is in, and counts these at one place. So what moves is a
+    number for each pair and minimizer, not a row, and pairs meet no second shuffle.
+    """
+    lists = found.select("read", "kmer").where("read IS NOT NULL").distinct().groupBy("kmer").agg(F.array_sort(F.collect_list("read")).alias("reads")).where(F.size("reads").between(2, most))
+    rows = lists.select("reads", F.posexplode("reads").alias("i", "a")).where(F.col("i") < F.size("reads") - 1)
+    rows = rows.select("a", F.slice("reads", F.col("i") + 2, F.size("reads")).alias("b")).repartition("a").sortWithinPartitions("a")
+    kind = found.schema["read"].dataType.simpleString()
+    return rows.mapInArrow(lambda it: _shared(it, least), f"a {kind}, b {kind}, shared long")
 
 
 def corrected_paths(rows: DataFrame, nodes: DataFrame) -> DataFrame:
