@@ -347,7 +347,7 @@ def overlap_candidates(found: DataFrame, most: int = 1000, least: int = 2) -> Da
     A minimizer's reads are one list; each read takes what stands behind it in the lists that it is in, and counts these at one place. So what moves is a
     number for each pair and minimizer, not a row, and pairs meet no second shuffle.
     """
-    lists = found.select("read", "kmer").where("read IS NOT NULL").distinct().groupBy("kmer").agg(F.array_sort(F.collect_list("read")).alias("reads")).where(F.size("reads").between(2, most))
+    lists = found.select("read", "kmer").where("read IS NOT NULL").repartition("kmer").distinct().groupBy("kmer").agg(F.array_sort(F.collect_list("read")).alias("reads")).where(F.size("reads").between(2, most))
     rows = lists.select("reads", F.posexplode("reads").alias("i", "a")).where(F.col("i") < F.size("reads") - 1)
     rows = rows.select("a", F.slice("reads", F.col("i") + 2, F.size("reads")).alias("b")).repartition("a").sortWithinPartitions("a")
     kind = found.schema["read"].dataType.simpleString()
